@@ -1,0 +1,23 @@
+"""Joins whose strategy depends on a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# About 270 years of days; with eleven columns well under 100 MB as a broadcast table.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def left_join_dimension(
+    rows: DataFrame, dimension: DataFrame, key: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Left join to a dimension that is unique on ``key``.
+
+    The dimension is counted, no further than the bound. Within the bound it is broadcast and the
+    large side is not moved; beyond it the join is left to the planner, which shuffles by key and
+    splits hot keys at run time.
+    """
+    counted = dimension.select(key).limit(max_broadcast_rows + 1).count()
+    side = F.broadcast(dimension) if counted <= max_broadcast_rows else dimension
+    return rows.join(side, key, "left")
