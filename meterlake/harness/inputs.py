@@ -10,18 +10,26 @@ The ``raw_*`` frames are text as a bronze table holds it, with the faults the cl
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.config import LakeConfig
+from meterlake.config import SOURCE_FILES, LakeConfig
 from meterlake.plans import gold, silver
-from meterlake.sources.scratch import new_folder
+from meterlake.sources.scratch import materialize, shared_folder
 
 KWH_DIVISOR = 9973.0  # a prime: no consumption ends in an exact half, so rounding is unambiguous
 
 # bronze name -> header of the source file
 FILE_HEADERS = {"energy_kWh_hh": "energy(kWh/hh)", "Bank_holidays": "Bank holidays"}
 
+# columns of the weather file that the test tables have no data for; one the lake does not know
+OTHER_WEATHER_COLUMNS = {
+    "windSpeed": None, "cloudCover": None, "pressure": None, "uvIndex": None,
+    "precipType": "rain", "summary": "none", "icon": "cloud",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -80,17 +88,22 @@ def raw_households(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several stamps per day; a stamp whose temperatures are equal has no minimum."""
+    """Several stamps per day; a stamp whose temperatures are equal has no minimum.
+
+    Written first, as a bronze table is: the text is then parsed once per stamp and not, by a
+    pushed-down filter, once per line item.
+    """
     lines = table(spark, sf_dir, "lineitem")
     stamps = lines.groupBy(F.to_date("l_shipdate").alias("day"), "l_linenumber").agg(
         F.max("l_quantity").alias("high"), F.min("l_quantity").alias("low"), F.max("l_discount").alias("humidity")
     )
-    return stamps.select(
+    text = stamps.select(
         F.format_string("%s %02d:00:00", F.col("day").cast("string"), F.col("l_linenumber")).alias("time"),
         F.col("high").cast("string").alias("temperatureMax"),
         F.when(F.col("low") < F.col("high"), F.col("low").cast("string")).otherwise("Null").alias("temperatureMin"),
         F.col("humidity").cast("string").alias("humidity"),
     )
+    return materialize(text, "raw-weather")
 
 
 def raw_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +153,12 @@ def household_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over day-level dimensions that are written first, as a lake would have them saved."""
     return gold.household_days(
-        daily(spark, sf_dir), households(spark, sf_dir), weather(spark, sf_dir), holidays(spark, sf_dir)
+        daily(spark, sf_dir),
+        households(spark, sf_dir),
+        materialize(weather(spark, sf_dir), "weather"),
+        materialize(holidays(spark, sf_dir), "holidays"),
     )
 
 
@@ -151,26 +168,28 @@ def totals(spark: SparkSession, sf_dir: str, rounded: bool) -> DataFrame:
     )
 
 
-def write_sources(spark: SparkSession, sf_dir: str) -> LakeConfig:
+def write_sources(
+    spark: SparkSession, sf_dir: str, sources: tuple[str, ...] = tuple(SOURCE_FILES)
+) -> LakeConfig:
     """The raw frames as CSV files under the layout a lake reads, in new folders."""
-    config = LakeConfig(
-        source_root=new_folder(spark, "sources"),
-        namespace=f"lake_{new_folder(spark, 'x')[-32:]}",
-        table_root=new_folder(spark, "tables"),
-    )
     raw = {
-        "readings": raw_readings(spark, sf_dir),
-        "households": raw_households(spark, sf_dir).withColumn("file", F.lit("block_0")),
-        "holidays": raw_holidays(spark, sf_dir),
-        "weather": raw_weather(spark, sf_dir).select(
-            "*", *[F.lit(None).cast("string").alias(c) for c in ("windSpeed", "cloudCover", "pressure", "uvIndex")],
-            F.lit("rain").alias("precipType"), F.lit("none").alias("summary"), F.lit("cloud").alias("icon"),
+        "readings": raw_readings,
+        "households": lambda *at: raw_households(*at).withColumn("file", F.lit("block_0")),
+        "holidays": raw_holidays,
+        "weather": lambda *at: raw_weather(*at).withColumns(
+            {name: F.lit(value).cast("string") for name, value in OTHER_WEATHER_COLUMNS.items()}
         ),
     }
-    for source, rows in raw.items():
-        folder = config.source_path(source).removesuffix("/*.csv")
+    run = uuid.uuid4().hex
+    config = LakeConfig(
+        source_root=f"{shared_folder(spark)}/sources-{run}",
+        namespace=f"lake_{run}",
+        table_root=f"{shared_folder(spark)}/tables-{run}",
+    )
+    for source in sources:
+        rows = raw[source](spark, sf_dir)
         named = rows.withColumnsRenamed({k: v for k, v in FILE_HEADERS.items() if k in rows.columns})
         named.write.options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(folder)
+        ).csv(config.source_path(source).removesuffix("/*.csv"))
     return config

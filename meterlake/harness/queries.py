@@ -30,7 +30,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(spark, inputs.write_sources(spark, sf_dir))
+    lake = Lake(spark, inputs.write_sources(spark, sf_dir, ("readings",)))
     lake.create_schemas()
     bronze = lake.ingest("readings", t.BRONZE_READINGS, t.READINGS_FILE)
     return bronze.select(

@@ -152,14 +152,14 @@ def segment_consumption(daily: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def top_households(fact: DataFrame, k: int = 15, digits: int | None = 2) -> DataFrame:
-    """The k meters with the highest average day; equal averages in meter order."""
+    """The k meters with the highest average day; equal averages in meter order.
+
+    Tariff and category belong to the meter, so they are keys: a maximum of text would sort.
+    """
     return (
-        fact.groupBy("meter_id")
-        .agg(
-            _round(F.avg("daily_kwh"), digits).alias("avg_daily_kwh"),
-            F.max("tariff").alias("tariff"),
-            F.max("detail_code").alias("detail_code"),
-        )
+        fact.groupBy("meter_id", "tariff", "detail_code")
+        .agg(_round(F.avg("daily_kwh"), digits).alias("avg_daily_kwh"))
+        .select("meter_id", "avg_daily_kwh", "tariff", "detail_code")
         .orderBy(F.desc("avg_daily_kwh"), "meter_id")
         .limit(k)
     )

@@ -25,10 +25,12 @@ def duplicate_keys(rows: DataFrame, key: Sequence[str], table_name: str) -> Data
 def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:
     """How many child rows name a key the parent lacks; a null key names nothing.
 
-    The child is counted per key first: the join sees distinct keys, however often one occurs.
+    The child is counted per key first, so the join sees a key once however often it occurs. An
+    outer join keeps that order; an anti join would be pushed below the count by the optimizer.
     """
     used = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    missing = used.join(parent.select(key), key, "left_anti")
+    known = parent.select(key, F.lit(True).alias("known"))
+    missing = used.join(known, key, "left").filter(F.col("known").isNull())
     return _report(
         missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")), "foreign_key", relation
     )
