@@ -11,6 +11,7 @@ The ``raw_*`` frames are text as a bronze table holds it, with the faults the cl
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,9 +153,25 @@ def household_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.with_household(measured, households(spark, sf_dir))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact over day-level dimensions that are written first, as a lake would have them saved."""
-    return gold.household_days(
+@dataclass(frozen=True)
+class Star:
+    """The silver tables of the calendar track."""
+
+    daily: DataFrame
+    households: DataFrame
+    weather: DataFrame
+    holidays: DataFrame
+
+    def fact(self) -> DataFrame:
+        return gold.household_days(self.daily, self.households, self.weather, self.holidays)
+
+    def totals(self, rounded: bool) -> DataFrame:
+        return gold.daily_totals_unsaved(self.daily, self.weather, self.holidays, rounded)
+
+
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """The day-level dimensions are written first, as a lake would have them saved."""
+    return Star(
         daily(spark, sf_dir),
         households(spark, sf_dir),
         materialize(weather(spark, sf_dir), "weather"),
@@ -163,6 +180,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def totals(spark: SparkSession, sf_dir: str, rounded: bool) -> DataFrame:
+    """Day totals in one plan: each dimension is used once, so none is written first."""
     return gold.daily_totals_unsaved(
         daily(spark, sf_dir), weather(spark, sf_dir), holidays(spark, sf_dir), rounded
     )

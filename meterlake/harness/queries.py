@@ -92,7 +92,7 @@ def silver_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = inputs.fact(spark, sf_dir).select(
+    fact = inputs.star(spark, sf_dir).fact().select(
         "meter_id", "day", "daily_kwh", "tariff", "group_name", "detail_code", "temp_avg", "temp_max",
         "holiday_name", "year", "month", "day_of_week", "is_weekend", "is_holiday", "season",
     )
@@ -104,7 +104,7 @@ def gold_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_daily_totals_from_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.daily_totals(inputs.fact(spark, sf_dir))
+    return gold.daily_totals(inputs.star(spark, sf_dir).fact())
 
 
 def gold_group_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,17 +212,18 @@ def finding_season_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = inputs.star(spark, sf_dir)
     raw_weather = inputs.raw_weather(spark, sf_dir).select(F.substring("time", 1, 10).alias("day"))
     checked = [
         (inputs.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
         (inputs.raw_readings(spark, sf_dir), ["LCLid", "tstp"], "raw_readings"),
         (raw_weather, ["day"], "raw_weather"),
         (silver_readings(spark, sf_dir), t.SILVER_READINGS.key, "readings"),
-        (inputs.households(spark, sf_dir), t.SILVER_HOUSEHOLDS.key, "households"),
-        (inputs.weather(spark, sf_dir), t.SILVER_WEATHER.key, "weather"),
-        (inputs.holidays(spark, sf_dir), t.SILVER_HOLIDAYS.key, "holidays"),
-        (inputs.fact(spark, sf_dir), t.GOLD_FACT.key, "household_day"),
-        (gold_daily_totals(spark, sf_dir), t.GOLD_DAILY_TOTALS.key, "daily_totals"),
+        (star.households, t.SILVER_HOUSEHOLDS.key, "households"),
+        (star.weather, t.SILVER_WEATHER.key, "weather"),
+        (star.holidays, t.SILVER_HOLIDAYS.key, "holidays"),
+        (star.fact(), t.GOLD_FACT.key, "household_day"),
+        (star.totals(rounded=True), t.GOLD_DAILY_TOTALS.key, "daily_totals"),
         (gold_group_profile(spark, sf_dir), t.GOLD_GROUP_PROFILE.key, "group_profile"),
         (gold_load_profile(spark, sf_dir), t.GOLD_LOAD_PROFILE.key, "load_profile"),
     ]
@@ -230,25 +231,26 @@ def contract_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily, households = inputs.daily(spark, sf_dir), inputs.households(spark, sf_dir)
+    star = inputs.star(spark, sf_dir)
     # every reading's meter gets a segment, so the readings stand for the segment table
     meters = inputs.readings(spark, sf_dir)
     return _union([
-        quality.orphans(daily, households, "meter_id", "household_day -> households"),
-        quality.orphans(daily, inputs.weather(spark, sf_dir), "day", "household_day -> weather"),
-        quality.orphans(daily, inputs.holidays(spark, sf_dir), "day", "household_day -> holidays (optional)"),
-        quality.orphans(meters, households, "meter_id", "segments -> households"),
+        quality.orphans(star.daily, star.households, "meter_id", "household_day -> households"),
+        quality.orphans(star.daily, star.weather, "day", "household_day -> weather"),
+        quality.orphans(star.daily, star.holidays, "day", "household_day -> holidays (optional)"),
+        quality.orphans(meters, star.households, "meter_id", "segments -> households"),
     ])
 
 
 def contract_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = inputs.star(spark, sf_dir)
     return _union([
         quality.outside_domains(rows, table.domains, table.name)
         for rows, table in [
             (silver_readings(spark, sf_dir), t.SILVER_READINGS),
-            (inputs.households(spark, sf_dir), t.SILVER_HOUSEHOLDS),
-            (inputs.fact(spark, sf_dir), t.GOLD_FACT),
-            (gold_daily_totals(spark, sf_dir), t.GOLD_DAILY_TOTALS),
+            (star.households, t.SILVER_HOUSEHOLDS),
+            (star.fact(), t.GOLD_FACT),
+            (star.totals(rounded=True), t.GOLD_DAILY_TOTALS),
             (gold_load_profile(spark, sf_dir), t.GOLD_LOAD_PROFILE),
         ]
     ])

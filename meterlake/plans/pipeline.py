@@ -17,8 +17,8 @@ def land_sources(lake: Lake) -> None:
 
 
 def build_silver(lake: Lake) -> None:
-    readings = silver.clean_readings(lake.read(t.BRONZE_READINGS))
-    saved = lake.save(silver.clustered_by_day(readings), t.SILVER_READINGS)
+    readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), clustered=True)
+    saved = lake.save(readings, t.SILVER_READINGS)
     lake.save(silver.daily_statistics(saved), t.SILVER_DAILY)
     lake.save(silver.clean_households(lake.read(t.BRONZE_HOUSEHOLDS)), t.SILVER_HOUSEHOLDS)
     lake.save(silver.clean_weather(lake.read(t.BRONZE_WEATHER)), t.SILVER_WEATHER)

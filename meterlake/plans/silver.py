@@ -11,18 +11,33 @@ from meterlake.operators.dedup import smallest_row, smallest_value
 from meterlake.tables import WEATHER_MEASURES, WEATHER_TEXTS
 
 
-def clean_readings(bronze: DataFrame) -> DataFrame:
+def clean_readings(bronze: DataFrame, clustered: bool = False) -> DataFrame:
     """Typed readings, one per (meter, time); of several energies for one time the smallest stays.
 
-    Rows whose time or energy cannot be read go. Everything else about a reading follows from its
-    key, so only three columns are shuffled and the slot columns are computed behind the shuffle.
+    Rows whose time or energy cannot be read go, but only after the aggregate, which ignores them
+    anyway: a filter below it would parse every cell a second time. Everything else about a reading
+    follows from its key, so three columns are shuffled and the slots computed behind the shuffle.
+    ``clustered`` lays the rows out for saving.
     """
     typed = bronze.select(
         F.col("LCLid").alias("meter_id"),
         text.timestamp("tstp").alias("read_at"),
         text.number("energy_kWh_hh").alias("kwh"),
-    ).na.drop(subset=["read_at", "kwh"])
-    return with_slots(smallest_value(typed, ["meter_id", "read_at"], "kwh"))
+    )
+    unique = smallest_value(typed, ["meter_id", "read_at"], "kwh").na.drop(subset=["read_at", "kwh"])
+    return with_slots(clustered_by_day(unique) if clustered else unique)
+
+
+def clustered_by_day(readings: DataFrame) -> DataFrame:
+    """Layout for the saved readings: whole meter-days lie together, each meter in time order.
+
+    A later aggregate by (meter, day) then collapses inside the scan tasks, so almost nothing of
+    the large table is shuffled again, and the files are smaller. The sort compares the hash of a
+    meter, a number, instead of its text. For readings that are unique per second: a key can then
+    hold 86,400 rows at most, which is why this shuffle cannot be skewed by one meter.
+    """
+    by_day = readings.repartition("meter_id", F.to_date("read_at"))
+    return by_day.sortWithinPartitions(F.xxhash64("meter_id"), "read_at")
 
 
 def with_slots(readings: DataFrame) -> DataFrame:
@@ -37,16 +52,6 @@ def with_slots(readings: DataFrame) -> DataFrame:
     )
 
 
-def clustered_by_day(readings: DataFrame) -> DataFrame:
-    """Layout for the saved readings: whole meter-days lie together, in order.
-
-    A later aggregate by (meter, day) then collapses inside the scan tasks, so almost nothing of
-    the large table is shuffled again. For readings that are unique per second: a key can then hold
-    86,400 rows at most, which is why this shuffle cannot be skewed by one meter.
-    """
-    return readings.repartition("meter_id", "day").sortWithinPartitions("meter_id", "read_at")
-
-
 def daily_statistics(readings: DataFrame, rounded: bool = True) -> DataFrame:
     """Statistics per meter and day; incomplete days stay and show in ``energy_count``."""
     r = rounder(rounded)

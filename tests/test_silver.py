@@ -100,12 +100,11 @@ def test_daily_statistics_against_python(spark):
 def test_clustering_keeps_rows_and_puts_a_meter_day_into_one_partition(spark):
     from pyspark.sql import functions as F
 
-    data = [(f"M{i % 7}", T(2013, 1, 1 + i % 5, i % 24, 0), 1.0) for i in range(400)]
-    frame = silver.with_slots(
-        spark.createDataFrame(data, "meter_id string, read_at timestamp_ntz, kwh double").distinct()
+    raw = spark.createDataFrame(
+        [(f"M{i % 7}", f"2013-01-{1 + i % 5:02d} {i % 24:02d}:00:00", f" {i} ") for i in range(400)], READINGS
     )
-    laid = silver.clustered_by_day(frame)
-    assert rows(laid) == rows(frame)
+    laid = silver.clean_readings(raw, clustered=True)
+    assert rows(laid) == rows(silver.clean_readings(raw))
     spread = laid.withColumn("p", F.spark_partition_id()).groupBy("meter_id", "day").agg(F.countDistinct("p").alias("n"))
     assert spread.agg(F.max("n")).first()[0] == 1
 
