@@ -28,7 +28,7 @@ def volume_root(catalog: str, schema: str, volume: str = "raw") -> str:
 class LakeConfig:
     """``source_root`` is any URI Spark can read; tables are ``[catalog.]namespace_layer.name``.
 
-    ``table_root`` places the layers' files; without it they go to the warehouse of the session.
+    ``table_root`` places the tables' files; without it they go to the warehouse of the session.
     ``table_format`` is any installed format: parquet comes with Spark, delta needs its package.
     """
 
@@ -52,5 +52,5 @@ class LakeConfig:
     def table(self, layer: str, name: str) -> str:
         return f"{self.schema(layer)}.{name}"
 
-    def location(self, layer: str) -> str | None:
-        return f"{self.table_root.rstrip('/')}/{layer}" if self.table_root else None
+    def location(self, layer: str, name: str) -> str | None:
+        return f"{self.table_root.rstrip('/')}/{layer}/{name}" if self.table_root else None

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.concurrency import together
 from meterlake.config import SOURCE_FILES, LakeConfig
 from meterlake.plans import gold, silver
 from meterlake.sources.scratch import materialize, shared_folder
@@ -204,10 +205,12 @@ def write_sources(
         namespace=f"lake_{run}",
         table_root=f"{shared_folder(spark)}/tables-{run}",
     )
-    for source in sources:
+    def write(source: str) -> None:
         rows = raw[source](spark, sf_dir)
         named = rows.withColumnsRenamed({k: v for k, v in FILE_HEADERS.items() if k in rows.columns})
         named.write.options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(config.source_path(source).removesuffix("/*.csv"))
+
+    together(spark, [lambda source=source: write(source) for source in sources])
     return config

@@ -1,8 +1,12 @@
-"""The saved lake, layer by layer. Every step overwrites its tables, so any step can be repeated."""
+"""The saved lake, layer by layer. Every step overwrites its tables, so any step can be repeated.
+
+Tables that do not depend on each other are saved together.
+"""
 
 from __future__ import annotations
 
 from meterlake import tables as t
+from meterlake.concurrency import together
 from meterlake.plans import gold, segments, silver
 from meterlake.sources.lake import Lake
 
@@ -10,34 +14,61 @@ from meterlake.sources.lake import Lake
 def land_sources(lake: Lake) -> None:
     """Bronze: the readings as many files, the three dimensions as one file each."""
     lake.create_schemas()
-    lake.ingest("readings", t.BRONZE_READINGS, t.READINGS_FILE)
-    lake.ingest("households", t.BRONZE_HOUSEHOLDS, t.HOUSEHOLDS_FILE)
-    lake.ingest("holidays", t.BRONZE_HOLIDAYS, t.HOLIDAYS_FILE)
-    lake.ingest("weather", t.BRONZE_WEATHER)  # columns beyond the known ones are kept
+    together(
+        lake.spark,
+        [
+            lambda: lake.ingest("readings", t.BRONZE_READINGS, t.READINGS_FILE),
+            lambda: lake.ingest("households", t.BRONZE_HOUSEHOLDS, t.HOUSEHOLDS_FILE),
+            lambda: lake.ingest("holidays", t.BRONZE_HOLIDAYS, t.HOLIDAYS_FILE),
+            # columns beyond the known ones are kept
+            lambda: lake.ingest("weather", t.BRONZE_WEATHER),
+        ],
+    )
 
 
 def build_silver(lake: Lake) -> None:
-    readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), clustered=True)
-    saved = lake.save(readings, t.SILVER_READINGS)
-    lake.save(silver.daily_statistics(saved), t.SILVER_DAILY)
-    lake.save(silver.clean_households(lake.read(t.BRONZE_HOUSEHOLDS)), t.SILVER_HOUSEHOLDS)
-    lake.save(silver.clean_weather(lake.read(t.BRONZE_WEATHER)), t.SILVER_WEATHER)
-    lake.save(silver.clean_holidays(lake.read(t.BRONZE_HOLIDAYS)), t.SILVER_HOLIDAYS)
+    def readings_and_daily() -> None:
+        readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), clustered=True)
+        saved = lake.save(readings, t.SILVER_READINGS)
+        lake.save(silver.daily_statistics(saved), t.SILVER_DAILY)
+
+    together(
+        lake.spark,
+        [
+            readings_and_daily,
+            lambda: lake.save(silver.clean_households(lake.read(t.BRONZE_HOUSEHOLDS)), t.SILVER_HOUSEHOLDS),
+            lambda: lake.save(silver.clean_weather(lake.read(t.BRONZE_WEATHER)), t.SILVER_WEATHER),
+            lambda: lake.save(silver.clean_holidays(lake.read(t.BRONZE_HOLIDAYS)), t.SILVER_HOLIDAYS),
+        ],
+    )
 
 
 def build_gold(lake: Lake) -> None:
-    fact = lake.save(
-        gold.household_days(
-            lake.read(t.SILVER_DAILY),
-            lake.read(t.SILVER_HOUSEHOLDS),
-            lake.read(t.SILVER_WEATHER),
-            lake.read(t.SILVER_HOLIDAYS),
-        ),
-        t.GOLD_FACT,
+    def fact_and_its_marts() -> None:
+        fact = lake.save(
+            gold.household_days(
+                lake.read(t.SILVER_DAILY),
+                lake.read(t.SILVER_HOUSEHOLDS),
+                lake.read(t.SILVER_WEATHER),
+                lake.read(t.SILVER_HOLIDAYS),
+            ),
+            t.GOLD_FACT,
+        )
+        together(
+            lake.spark,
+            [
+                lambda: lake.save(gold.daily_totals(fact), t.GOLD_DAILY_TOTALS),
+                lambda: lake.save(gold.group_profile(fact), t.GOLD_GROUP_PROFILE),
+            ],
+        )
+
+    together(
+        lake.spark,
+        [
+            fact_and_its_marts,
+            lambda: lake.save(gold.load_profile(lake.read(t.SILVER_READINGS)), t.GOLD_LOAD_PROFILE),
+        ],
     )
-    lake.save(gold.daily_totals(fact), t.GOLD_DAILY_TOTALS)
-    lake.save(gold.group_profile(fact), t.GOLD_GROUP_PROFILE)
-    lake.save(gold.load_profile(lake.read(t.SILVER_READINGS)), t.GOLD_LOAD_PROFILE)
 
 
 def build_segments(lake: Lake) -> None:

@@ -8,16 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 from operator import add
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.concurrency import together
 from meterlake.operators.pivot import SLOT_COLUMNS, average_by_slot
 from meterlake.sources.scratch import materialize
 
@@ -28,7 +27,6 @@ SEED = 42
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
 SWEEP = (2, 3, 4, 5, 6)
-PARALLEL_FITS = 8
 
 
 def load_shape(readings: DataFrame) -> DataFrame:
@@ -52,12 +50,6 @@ def shape_vectors(shares: DataFrame) -> DataFrame:
     return materialize(vectors.sortWithinPartitions("meter_id"), "load-shapes")
 
 
-def _in_parallel(jobs: Sequence[Callable], vectors: DataFrame) -> list:
-    """Run independent fits side by side; each is a series of short Spark jobs."""
-    with ThreadPool(min(PARALLEL_FITS, len(jobs))) as pool:
-        return pool.map(lambda job: job(), [inheritable_thread_target(vectors.sparkSession)(j) for j in jobs])
-
-
 def _starts(vectors: DataFrame, k: int, starts: int, seed: int) -> list[Callable[[], KMeansModel]]:
     def fit(start_seed: int) -> Callable[[], KMeansModel]:
         estimator = KMeans(k=k, seed=start_seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE)
@@ -74,18 +66,19 @@ def fit_segments(
     vectors: DataFrame, k: int = SEGMENTS, starts: int = STARTS, seed: int = SEED
 ) -> KMeansModel:
     """The fit with the lowest cost among several starts."""
-    return _cheapest(_in_parallel(_starts(vectors, k, starts, seed), vectors))
+    return _cheapest(together(vectors.sparkSession, _starts(vectors, k, starts, seed)))
 
 
 def silhouettes(
     vectors: DataFrame, ks: Sequence[int] = SWEEP, starts: int = STARTS, seed: int = SEED
 ) -> DataFrame:
     """``k, silhouette`` (squared Euclidean) of the best fit for each k."""
-    fits = _in_parallel([job for k in ks for job in _starts(vectors, k, starts, seed)], vectors)
+    spark = vectors.sparkSession
+    fits = together(spark, [job for k in ks for job in _starts(vectors, k, starts, seed)])
     best = [_cheapest(fits[i * starts : (i + 1) * starts]) for i in range(len(ks))]
     evaluator = ClusteringEvaluator()
-    scores = _in_parallel([lambda m=m: evaluator.evaluate(m.transform(vectors)) for m in best], vectors)
-    return vectors.sparkSession.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
+    scores = together(spark, [lambda m=m: evaluator.evaluate(m.transform(vectors)) for m in best])
+    return spark.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
 
 
 def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:

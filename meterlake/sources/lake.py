@@ -30,9 +30,7 @@ class Lake:
 
     def create_schemas(self) -> None:
         for layer in LAYERS:
-            location = self.config.location(layer)
-            place = f" LOCATION '{location}'" if location else ""
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.config.schema(layer)}{place}")
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.config.schema(layer)}")
 
     def read(self, table: Table) -> DataFrame:
         return self.spark.table(self.config.table(table.layer, table.name))
@@ -46,17 +44,20 @@ class Lake:
         if table.layer != "bronze":
             rows = rows.to(table.schema)
         observed = Observation(f"{table.layer}.{table.name}")
-        writer = (
-            rows.observe(observed, F.count(F.lit(1)).alias("row_count"))
-            .write.format(self.config.table_format)
-            .mode("overwrite")
-        )
-        if self.config.table_format == "delta":
-            writer = writer.option("overwriteSchema", "true")
-        writer.saveAsTable(self.config.table(table.layer, table.name))
+        counted = rows.observe(observed, F.count(F.lit(1)).alias("row_count"))
+        self._write(counted, table.layer, table.name, "overwrite")
         self._note(table, "saved", observed.get["row_count"], len(rows.columns))
         return self.read(table)
 
+    def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
+        writer = rows.write.format(self.config.table_format).mode(mode)
+        if self.config.table_format == "delta" and mode == "overwrite":
+            writer = writer.option("overwriteSchema", "true")
+        if path := self.config.location(layer, name):
+            # also takes over files of a table that a new catalog does not know yet
+            writer = writer.option("path", path)
+        writer.saveAsTable(self.config.table(layer, name))
+
     def ingest(
         self, source: str, table: Table, schema: StructType | None = None, optional: bool = False, **options
     ) -> DataFrame | None:
@@ -88,8 +89,7 @@ class Lake:
 
     def write_audit(self) -> DataFrame:
         """Append what this run saved and skipped to the audit table, once per run."""
-        name = self.config.table("gold", "audit")
         notes = self.spark.createDataFrame(self._audit, AUDIT_COLUMNS).coalesce(1)
-        notes.write.format(self.config.table_format).mode("append").saveAsTable(name)
+        self._write(notes, "gold", "audit", "append")
         self._audit = []
-        return self.spark.table(name)
+        return self.spark.table(self.config.table("gold", "audit"))

@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, whose executors are this very process, gets a folder of its own when
     none is named.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -104,19 +104,19 @@ _SLOT_DOMAIN = {"half_hour": "half_hour BETWEEN 0 AND 47"}
 _TARIFF_DOMAIN = {"tariff": "tariff IN ('Standard', 'Time-of-Use')"}
 
 BRONZE_READINGS = Table(
-    "bronze", "readings", "Raw half-hourly readings",
+    "bronze", "readings", "Readings as delivered",
     _text("LCLid", "tstp", "energy_kWh_hh") + LINEAGE,
 )
 BRONZE_HOUSEHOLDS = Table(
-    "bronze", "households", "Raw household list",
+    "bronze", "households", "Household list as delivered",
     _text("LCLid", "stdorToU", "Acorn", "Acorn_grouped", "file") + LINEAGE,
 )
 BRONZE_HOLIDAYS = Table(
-    "bronze", "holidays", "Raw bank holidays",
+    "bronze", "holidays", "Holiday list as delivered",
     _text("Bank_holidays", "Type") + LINEAGE,
 )
 BRONZE_WEATHER = Table(
-    "bronze", "weather", "Raw daily weather; further columns of the file are kept",
+    "bronze", "weather", "Weather as delivered, with whatever further columns the file has",
     _text("time", *WEATHER_MEASURES, *WEATHER_TEXTS) + LINEAGE,
 )
 
@@ -139,7 +139,7 @@ SILVER_DAILY = Table(
     key=("meter_id", "day"),
 )
 SILVER_HOUSEHOLDS = Table(
-    "silver", "households", "Household dimension",
+    "silver", "households", "Meters with tariff and customer group",
     (
         METER,
         Column("tariff_flag", STRING, "raw tariff flag"),
@@ -152,11 +152,11 @@ SILVER_HOUSEHOLDS = Table(
     domains=_TARIFF_DOMAIN,
 )
 SILVER_WEATHER = Table(
-    "silver", "weather", "Weather dimension, one row per day",
+    "silver", "weather", "Weather by day",
     (DAY, *_WEATHER_COLUMNS), key=("day",),
 )
 SILVER_HOLIDAYS = Table(
-    "silver", "holidays", "Bank-holiday dimension",
+    "silver", "holidays", "Named holidays by day",
     (DAY, Column("holiday_name", STRING)), key=("day",),
 )
 
@@ -185,7 +185,7 @@ GOLD_FACT = Table(
     },
 )
 GOLD_DAILY_TOTALS = Table(
-    "gold", "daily_totals", "One row per day",
+    "gold", "daily_totals", "Demand of all homes per day",
     (
         DAY,
         *_CALENDAR,

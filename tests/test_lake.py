@@ -134,6 +134,21 @@ def test_a_second_run_gives_the_same_tables_and_adds_to_the_audit(spark, lake):
     assert len(counted) == 13
 
 
+def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):
+    lake.create_schemas()
+    first = spark.createDataFrame([(0, "00:00", 1.0), (1, "00:30", 2.0)], "half_hour int, clock_time string, avg_kwh double")
+    lake.save(first, t.GOLD_LOAD_PROFILE)
+    spark.sql(f"DROP TABLE {lake.config.table('gold', 'load_profile')}")
+    saved = lake.save(first.limit(1), t.GOLD_LOAD_PROFILE)
+    assert rows(saved) == [(0, "00:00", 1.0)]
+
+
+def test_rows_that_do_not_fit_the_dictionary_are_refused(spark, lake):
+    lake.create_schemas()
+    with pytest.raises(AnalysisException):
+        lake.save(spark.createDataFrame([(0, [1.0])], "half_hour int, avg_kwh array<double>"), t.GOLD_LOAD_PROFILE)
+
+
 def test_an_optional_source_may_be_absent(spark, tmp_path):
     lake = Lake(spark, LakeConfig(str(tmp_path), namespace="absent", table_root=str(tmp_path / "tables")))
     lake.create_schemas()
