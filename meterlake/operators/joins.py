@@ -14,10 +14,9 @@ def left_join_dimension(
 ) -> DataFrame:
     """Left join to a dimension that is unique on ``key``.
 
-    The dimension is counted, no further than the bound. Within the bound it is broadcast and the
-    large side is not moved; beyond it the join is left to the planner, which shuffles by key and
-    splits hot keys at run time.
+    The dimension is counted. Within the bound it is broadcast and the large side is not moved;
+    beyond it the join is left to the planner, which shuffles by key and splits hot keys at run
+    time. Pass a saved or scratch table, so that the count does not repeat the plan behind it.
     """
-    counted = dimension.select(key).limit(max_broadcast_rows + 1).count()
-    side = F.broadcast(dimension) if counted <= max_broadcast_rows else dimension
+    side = F.broadcast(dimension) if dimension.count() <= max_broadcast_rows else dimension
     return rows.join(side, key, "left")

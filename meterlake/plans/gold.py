@@ -93,27 +93,31 @@ def _by_day(rows: DataFrame, attributes: tuple[str, ...], temperature, rounded:
     return rows.groupBy("day", *attributes).agg(*measures)
 
 
+def group_consumption(fact: DataFrame, rounded: bool = True) -> DataFrame:
+    """Average meter-day and distinct homes of each customer group and tariff."""
+    r = rounder(rounded)
+    return fact.groupBy("group_name", "tariff").agg(
+        r(F.avg("daily_kwh"), 3).alias("avg_daily_kwh"),
+        F.countDistinct("meter_id").alias("households"),
+    )
+
+
 def group_profile(fact: DataFrame, rounded: bool = True) -> DataFrame:
-    """Consumption by customer group and tariff, with distinct homes.
+    """``group_consumption`` with the median meter-day.
 
     Two aggregates over the fact instead of one: a median beside a distinct count would be kept
     per meter and shuffled, alone it is a handful of sketches per task.
     """
     r = rounder(rounded)
-    cell = ["group_name", "tariff"]
-    homes = fact.groupBy(*cell).agg(
-        r(F.avg("daily_kwh"), 3).alias("avg_daily_kwh"),
-        F.countDistinct("meter_id").alias("households"),
-    )
-    medians = fact.groupBy(*cell).agg(
+    medians = fact.groupBy("group_name", "tariff").agg(
         r(F.percentile_approx("daily_kwh", 0.5, MEDIAN_ACCURACY), 3).alias("median_daily_kwh")
     )
-    h, m = homes.alias("h"), medians.alias("m")
-    same_cell = F.col("h.group_name").eqNullSafe(F.col("m.group_name")) & F.col("h.tariff").eqNullSafe(
+    c, m = group_consumption(fact, rounded).alias("c"), medians.alias("m")
+    same_cell = F.col("c.group_name").eqNullSafe(F.col("m.group_name")) & F.col("c.tariff").eqNullSafe(
         F.col("m.tariff")
     )
-    return h.join(m, same_cell).select(
-        "h.group_name", "h.tariff", "h.avg_daily_kwh", "m.median_daily_kwh", "h.households"
+    return c.join(m, same_cell).select(
+        "c.group_name", "c.tariff", "c.avg_daily_kwh", "m.median_daily_kwh", "c.households"
     )
 
 

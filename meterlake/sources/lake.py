@@ -32,6 +32,20 @@ class Lake:
         for layer in LAYERS:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.config.schema(layer)}")
 
+    def create_tables(self) -> None:
+        """The declared tables, empty, where they do not exist yet."""
+        self.create_schemas()
+        for table in TABLES:
+            name = self.config.table(table.layer, table.name)
+            if not self.spark.catalog.tableExists(name):
+                self.spark.catalog.createTable(
+                    name,
+                    path=self.config.location(table.layer, table.name),
+                    source=self.config.table_format,
+                    schema=table.schema,
+                    description=table.comment,
+                )
+
     def read(self, table: Table) -> DataFrame:
         return self.spark.table(self.config.table(table.layer, table.name))
 
@@ -46,6 +60,8 @@ class Lake:
         observed = Observation(f"{table.layer}.{table.name}")
         counted = rows.observe(observed, F.count(F.lit(1)).alias("row_count"))
         self._write(counted, table.layer, table.name, "overwrite")
+        name = self.config.table(table.layer, table.name)
+        self.spark.sql(f"COMMENT ON TABLE {name} IS '{table.comment}'")
         self._note(table, "saved", observed.get["row_count"], len(rows.columns))
         return self.read(table)
 
@@ -71,7 +87,8 @@ class Lake:
         return self.save(with_lineage(scan), table)
 
     def tables(self, layer: str) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.config.schema(layer)))
+        listed = self.spark.catalog.listTables(self.config.schema(layer))
+        return sorted(t.name for t in listed if not t.isTemporary)
 
     def preview(self, table: Table, rows: int = 5) -> DataFrame:
         return self.read(table).limit(rows)

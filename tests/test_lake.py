@@ -143,6 +143,19 @@ def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):
     assert rows(saved) == [(0, "00:00", 1.0)]
 
 
+def test_declared_tables_can_be_created_first(spark, lake):
+    lake.create_tables()
+    assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 14
+    for table in t.TABLES:
+        empty = lake.read(table)
+        assert schema_differences(empty, table) == []
+        assert empty.count() == 0
+    pipeline.run(lake)
+    assert lake.read(t.GOLD_FACT).count() == 4
+    described = spark.catalog.getTable(lake.config.table("gold", "household_day"))
+    assert described.description == t.GOLD_FACT.comment
+
+
 def test_rows_that_do_not_fit_the_dictionary_are_refused(spark, lake):
     lake.create_schemas()
     with pytest.raises(AnalysisException):
