@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.text import chunks, rows_of
 
-#: Pieces and fragments remembered by a task; beyond it the memory starts afresh.
-REMEMBERED = 200_000
+#: Pieces that a task remembers at the start of a chunk; with more it starts afresh.
+REMEMBERED = 400_000
+NO_RANK = (1 << 31) - 1
 #: Fixed: the pattern of byte-level tokenizer files that say ``use_regex``.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -51,13 +52,89 @@ class Vocabulary:
         spell = lambda token: bytes(letter_bytes[c] for c in token)
         self.ids = {spell(token): i for token, i in model["vocab"].items() if token not in self.special}
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(spell(a), spell(b)): rank for rank, (a, b) in enumerate(merges)}
+        pairs = [(self.ids[spell(a)], self.ids[spell(b)], self.ids[spell(a + b)]) for a, b in merges]
+        left, right, self.made = (np.array(x, np.int64) for x in zip(*pairs))
+        made_at = dict(zip(self.made.tolist(), range(len(self.made))))
+        if any(max(made_at.get(a, -1), made_at.get(b, -1)) >= rank for rank, (a, b, _) in enumerate(pairs)):
+            raise ValueError(f"{file}: a merge comes before the merge that makes its parts")
+        self.ranks = _PairTable(left << 32 | right)
+        self.of_byte = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
         self.spelled = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.inside = np.zeros((256, 256), bool)
         for token in self.ids:
             pair = np.frombuffer(token, np.uint8)
             self.inside[pair[:-1], pair[1:]] = True
 
+    def merge(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and ids of the tokens of fragments, given by where each starts; no merge crosses a start.
+
+        All fragments advance together: each round merges in every fragment the pair of lowest rank, at all its
+        places from the left. A pair made by a merge ranks after it, so this is the order of single merges.
+        """
+        ids, places, n = self.of_byte[data], np.arange(len(data)), len(data)
+        fragment = np.zeros(n, np.int64)
+        fragment[starts] = 1
+        fragment = np.cumsum(fragment) - 1
+        done_places, done_ids = [], []
+        while len(ids):
+            rank = np.full(len(ids), NO_RANK, np.int64)
+            inner = np.flatnonzero(fragment[1:] == fragment[:-1])
+            rank[inner] = self.ranks.find(ids[inner] << 32 | ids[inner + 1])
+            first = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
+            sizes = np.diff(np.append(first, len(ids)))
+            lowest = np.minimum.reduceat(rank, first)
+            going = np.repeat(lowest < NO_RANK, sizes)
+            done_places.append(places[~going])
+            done_ids.append(ids[~going])
+            hit = going & (rank == np.repeat(lowest, sizes))
+            at = np.flatnonzero(hit)
+            # of adjacent hits, as in a run of one byte, every second one would reuse a token
+            run = np.concatenate([[True], np.diff(at) > 1]) if len(at) else np.zeros(0, bool)
+            if len(at) and not run.all():
+                begin = at[run][np.cumsum(run) - 1]
+                at = at[(at - begin) % 2 == 0]
+            ids[at] = self.made[rank[at]]
+            going[at + 1] = False
+            ids, places, fragment = ids[going], places[going], fragment[going]
+        if not done_ids:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        places, ids = np.concatenate(done_places), np.concatenate(done_ids)
+        order = np.argsort(places, kind="stable")
+        return places[order], ids[order]
+
+
+class _PairTable:
+    """Ranks of pairs in two hash tables without collisions: what collides in the first is in the second."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray):
+        self.tables = []
+        ranks, factor = np.arange(len(keys)), 0x9E3779B97F4A7C15
+        while len(keys):
+            slots = self._slots(keys, factor)
+            _, first = np.unique(slots, return_index=True)
+            table = np.full(1 << self.BITS, -1, np.int64)
+            values = np.full(1 << self.BITS, NO_RANK, np.int32)
+            table[slots[first]], values[slots[first]] = keys[first], ranks[first]
+            self.tables.append((factor, table, values))
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, ranks = keys[rest], ranks[rest]
+            factor = (factor * 0xD1342543DE82EF95 + 0x632BE59BD9B4E019) % (1 << 64) | 1
+
+    def _slots(self, keys: np.ndarray, factor: int) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(factor)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or NO_RANK."""
+        found = np.full(len(keys), NO_RANK, np.int32)
+        for factor, table, values in self.tables:
+            slots = self._slots(keys, factor)
+            same = table[slots] == keys
+            found[same] = values[slots[same]]
+        return found
+
 
 @functools.lru_cache(1)
 def shared_vocabulary(context: SparkContext, file: str) -> Broadcast:
@@ -66,77 +143,48 @@ def shared_vocabulary(context: SparkContext, file: str) -> Broadcast:
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of pieces and fragments, a bounded number of them."""
+    """Encodes texts; remembers the ids of pieces and encodes all new pieces of a call together."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.pattern = regex.compile(PATTERN)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-        self.pieces: dict[str, bytes] = _Memory(self._piece)
-        self.fragments: dict[bytes, bytes] = _Memory(self._fragment)
-
-    def encode(self, text: str) -> bytes:
-        """The ids as 32-bit integers in native order."""
-        special = self.vocabulary.special
-        if self.specials is None or not any(token in text for token in special):
-            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
-        return b"".join(
-            np.int32(special[part]).tobytes() if part in special else b"".join(map(self.pieces.__getitem__, self.pattern.findall(part)))
-            for part in self.specials.split(text)
-        )
-
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode()
-        return b"".join(self.fragments[f] for f in self.cut(data)) if len(data) > 1 else self.fragments[data]
-
-    def cut(self, data: bytes) -> list[bytes]:
-        """The fragments between forced boundaries."""
-        codes = np.frombuffer(data, np.uint8)
-        at = (np.flatnonzero(~self.vocabulary.inside[codes[:-1], codes[1:]]) + 1).tolist()
-        return [data[a:b] for a, b in zip([0, *at], [*at, len(data)])]
-
-    def _fragment(self, data: bytes) -> bytes:
-        ids = self.vocabulary.ids
-        return np.array([ids[t] for t in merged(data, self.vocabulary.ranks)], np.int32).tobytes()
-
-
-class _Memory(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
-
-
-def merged(data: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
-    """The tokens of a fragment: the pair of lowest rank is merged, leftmost first, until none has a rank.
-
-    A heap of pairs over a linked list, so that a fragment of any length takes n log n steps.
-    """
-    from heapq import heapify, heappop, heappush
-
-    parts: list[bytes | None] = [data[i : i + 1] for i in range(len(data))]
-    n = len(parts)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(rank, i, parts[i], parts[i + 1]) for i in range(n - 1) if (rank := ranks.get((parts[i], parts[i + 1]))) is not None]
-    heapify(heap)
-    while heap:
-        _, i, left, right = heappop(heap)
-        j = after[i]
-        if parts[i] != left or j >= n or parts[j] != right:
-            continue
-        parts[i], parts[j] = left + right, None
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-        for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b < n and (rank := ranks.get((parts[a], parts[b]))) is not None:
-                heappush(heap, (rank, a, parts[a], parts[b]))
-    return [p for p in parts if p is not None]
+        # a special token is cut out wherever it stands, so no piece is ever spelled like one
+        self.special = {token: np.int32(i).tobytes() for token, i in vocabulary.special.items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.cuts = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
+        self.known = dict(self.special)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers in native order."""
+        if len(self.known) > REMEMBERED:
+            self.known = dict(self.special)
+        pieces = list(map(self.pieces, texts))
+        new = list({p for found in pieces for p in found if p not in self.known})
+        self.known.update(zip(new, self.encode_pieces([p.encode() for p in new])))
+        return [b"".join(map(self.known.__getitem__, found)) for found in pieces]
+
+    def pieces(self, text: str) -> list[str]:
+        if not any(token in text for token in self.special):
+            return self.pattern.findall(text)
+        parts = self.cuts.split(text)  # every second part is a special token
+        return [p for k, part in enumerate(parts) for p in ([part] if k % 2 else self.pattern.findall(part))]
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ends = np.cumsum(lengths)
+        starts = self.fragment_starts(data, ends - lengths)
+        places, ids = self.vocabulary.merge(data, starts)
+        bounds = np.searchsorted(places, np.concatenate([[0], ends])).tolist()
+        packed = ids.astype(np.int32).tobytes()
+        return [packed[4 * a : 4 * b] for a, b in zip(bounds, bounds[1:])]
+
+    def fragment_starts(self, data: np.ndarray, piece_starts: np.ndarray) -> np.ndarray:
+        """Where pieces start and where a forced boundary lies inside them."""
+        starts = np.zeros(len(data), bool)
+        starts[1:] = ~self.vocabulary.inside[data[:-1], data[1:]]
+        starts[piece_starts] = True
+        return np.flatnonzero(starts)
 
 
 def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,7 +198,7 @@ def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
         encoder = Encoder(held.value)
         for batch in batches:
             for part, texts in chunks(batch):
-                packed = [encoder.encode(t.decode()) for t in texts]
+                packed = encoder.encode([t.decode() for t in texts])
                 offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), ids], names=["id", "ids"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, decontaminate, langid, lines, quality, simhash, substrings
+from meterlake.llm import bpe, chat, decontaminate, langid, lines, lm, quality, simhash, substrings
 from meterlake.llm.text import LAST_ID
 from meterlake.llm.tokenizers import tokenizer_file
 
@@ -43,6 +43,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(_doc_id(), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.score(documents(spark, sf_dir), remainder(5) == 1, tokenizer_file("byte_bpe_50k.json"))
+    return found.select(_doc_id(), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(documents(spark, sf_dir), min_chars=1, min_docs=10)
     return found.select(_doc_id(), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -89,7 +94,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        op1_bpe_roundtrip, op3_substring_dedup, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
+        op1_bpe_roundtrip, op3_substring_dedup, op4_lm_scoring, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
         op9_simhash_near_dedup, op10_chat_formatting,
     )
 }

@@ -134,3 +134,15 @@ def chat(rows):
         turns.sort()
         said = "".join(t for _, r, t in turns if r == "assistant")
         yield conv, len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(said), sha(said)
+
+
+def base_scores(docs, held_out):
+    """(id, n_tokens, n_known, train_tokens, base_score)."""
+    from math import log10
+
+    end = object()
+    tokens = {i: [*WORD.findall((t or "").translate(UPPER)), end] for i, t in docs}
+    counts = Counter(w for i, ws in tokens.items() if i not in held_out for w in ws)
+    total = sum(counts.values())
+    for i, ws in tokens.items():
+        yield i, len(ws), sum(counts[w] > 0 for w in ws), total, sum(log10((counts[w] + 0.5) / (total + 0.5 * (len(counts) + 1))) for w in ws)

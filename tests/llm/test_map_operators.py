@@ -34,10 +34,24 @@ def test_bpe_given_texts(spark, sf_dir):
 
 def test_bpe_cuts_are_forced_and_rejoin():
     encoder = bpe.Encoder(bpe.Vocabulary(FILE))
-    data = " straßenbahnhaltestelle\x00zz".encode()
-    parts = encoder.cut(data)
-    assert b"".join(parts) == data and len(parts) > 1
-    assert encoder.encode("") == b""
+    data = np.frombuffer(" straßenbahnhaltestelle\x00zz".encode(), np.uint8)
+    starts = encoder.fragment_starts(data, np.array([0]))
+    tokens = b"\n".join(encoder.vocabulary.ids)
+    assert len(starts) > 1 and all(bytes(data[at - 1 : at + 1]) not in tokens for at in starts[1:])
+    whole, cut = encoder.vocabulary.merge(data, np.array([0])), encoder.vocabulary.merge(data, starts)
+    assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+    assert encoder.encode(["", "a"]) == [b"", np.int32(encoder.vocabulary.ids[b"a"]).tobytes()] and encoder.encode([]) == []
+
+
+def test_bpe_many_pieces(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    library, encoder = Tokenizer.from_file(FILE), bpe.Encoder(bpe.Vocabulary(FILE))
+    texts = [prose(k, 40).replace(" ", "" if k % 3 else " ") + "aaaaaaa" * k for k in range(30)]
+    for k in range(0, 30, 7):
+        found = [np.frombuffer(p, np.int32).tolist() for p in encoder.encode(texts[k : k + 7])]
+        assert found == [e.ids for e in library.encode_batch(texts[k : k + 7], add_special_tokens=False)]
 
 
 def test_bpe_decodes_broken_bytes(spark):
