@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, decontaminate, langid, lines, lm, quality, simhash, substrings
+from meterlake.llm import bpe, chat, decontaminate, langid, lines, lm, quality, simhash, substrings, suffixes
 from meterlake.llm.text import LAST_ID
 from meterlake.llm.tokenizers import tokenizer_file
 
@@ -38,6 +38,11 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup_bytes(documents(spark, sf_dir), size=100)
+    return found.select(_doc_id(), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup_substrings(documents(spark, sf_dir))
     return found.select(_doc_id(), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -94,7 +99,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        op1_bpe_roundtrip, op3_substring_dedup, op4_lm_scoring, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
+        op1_bpe_roundtrip, op2_suffix_array_dedup, op3_substring_dedup, op4_lm_scoring, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
         op9_simhash_near_dedup, op10_chat_formatting,
     )
 }
