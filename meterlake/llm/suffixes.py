@@ -28,12 +28,12 @@ from meterlake.sources.scratch import materialize
 
 SIZE = 100
 GRAM = 20
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 25
 #: Occurrences in a block on average, and those of one anchor from which it is dealt to many blocks.
-BLOCK, FREQUENT = 20_000, 20_000
+BLOCK, FREQUENT = 10_000, 20_000
 SHARES = 64
 _CHUNK = 1 << 19
-_HELD = 200_000
+_HELD = 100_000
 
 #: A difference cover: any two residues modulo PERIOD have a shift that takes both into COVER.
 PERIOD = 31
@@ -320,8 +320,8 @@ def _result(*parts: tuple) -> pa.Table:
 
 
 def _settled(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple:
-    spread = signed(mix(ids.astype(np.uint64) ^ mix(start.astype(np.uint64))))
-    return spread, np.zeros(len(ids)), ids, keys, start, stop, np.zeros(len(ids))
+    none = np.zeros(len(ids))
+    return none, none, ids, keys, start, stop, none
 
 
 def work_on_block(group: pa.Table, size: int) -> pa.Table:
@@ -381,9 +381,11 @@ def removed_ranges(rows: DataFrame, size: int, bits: int, block: int, frequent_f
     frequent = sc.broadcast(filters.build(known.filter(F.col("n") >= frequent_from), column, 1 << 18)[0])
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = occurrences(rows, repeated, frequent, int(total // block) + 1, size)
-    worked = found.groupBy("block").applyInArrow(lambda group: work_on_block(group, size), _RESULT)
-    owner = F.min(F.struct("id", "start")).over(Window.partitionBy("first", "second", "open"))
-    return worked.withColumn("owner", owner).filter(~F.col("open") | (F.struct("id", "start") > F.col("owner"))).select("id", "key", "start", "stop")
+    worked = materialize(found.groupBy("block").applyInArrow(lambda group: work_on_block(group, size), _RESULT), "ranges")
+    owner = F.min(F.struct("id", "start")).over(Window.partitionBy("first", "second"))
+    between = worked.filter("open").withColumn("owner", owner).filter(F.struct("id", "start") > F.col("owner"))
+    columns = ("id", "key", "start", "stop")
+    return worked.filter("not open").select(*columns).union(between.select(*columns))
 
 
 def dedup_bytes(
