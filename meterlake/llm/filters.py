@@ -44,11 +44,16 @@ class Filter:
 
 
 class _Pair:
-    def __init__(self, bits: int):
-        self.bits, self.once, self.twice = bits, np.zeros(bits, bool), np.zeros(bits, bool)
+    def __init__(self, bits: int, again: bool):
+        self.bits, self.again, self.once = bits, again, np.zeros(bits, bool)
+        self.twice = np.zeros(bits if again else 0, bool)
 
     def add(self, hashes: np.ndarray) -> None:
         """Hashes of one unit or several; one that is there twice is seen twice."""
+        if not self.again:
+            for place in _places(hashes, self.bits):
+                self.once[place] = True
+            return
         distinct, counts = np.unique(hashes, return_counts=True)
         places = _places(distinct, self.bits)
         again = (counts > 1) | (self.once[places[0]] & self.once[places[1]] & self.once[places[2]])
@@ -59,7 +64,8 @@ class _Pair:
     def segments(self, part: int) -> Iterator[pa.RecordBatch]:
         for k in range(0, self.bits, SEGMENT):
             if self.once[k : k + SEGMENT].any():
-                yield _row(part, k // SEGMENT, np.packbits(self.once[k : k + SEGMENT]), np.packbits(self.twice[k : k + SEGMENT]))
+                twice = self.twice[k : k + SEGMENT] if self.again else np.zeros(SEGMENT, bool)
+                yield _row(part, k // SEGMENT, np.packbits(self.once[k : k + SEGMENT]), np.packbits(twice))
 
 
 def _row(part: int, segment: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
@@ -77,14 +83,14 @@ def _merge(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_row(rows[0]["part"] // FAN_IN, rows[0]["segment"], once, twice)])
 
 
-def build(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int) -> tuple[Filter, Filter]:
-    """The filters over all rows. ``hashes_of`` gives arrays of 64-bit hashes for a batch.
+def build(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int, again: bool = True) -> tuple[Filter, Filter]:
+    """The filters over all rows; without ``again`` the second stays empty. ``hashes_of`` gives arrays of 64-bit hashes for a batch.
 
     ``bits`` is a power of two of at least 2**18; the driver receives two bit arrays of that size.
     """
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = _Pair(bits)
+        pair = _Pair(bits, again)
         for batch in batches:
             for hashes in hashes_of(batch):
                 pair.add(hashes)

@@ -49,7 +49,7 @@ def _index_filter(rows: DataFrame, block: int, bits: int) -> filters.Filter:
             probe = _Probe(texts, block)
             yield probe.runs[probe.whole & (probe.offset % block == 0)]
 
-    return filters.build(rows.select("text"), blocks, bits)[0]
+    return filters.build(rows.select("text"), blocks, bits, again=False)[0]
 
 
 def shared_anchors(rows: DataFrame, block: int, bits: int) -> DataFrame:
@@ -81,7 +81,7 @@ def repeated_windows(rows: DataFrame, window: int, block: int, bits: int) -> Dat
         yield batch.column("anchor").to_numpy().view(np.uint64)
 
     anchors = materialize(shared_anchors(rows, block, bits), "anchors")
-    shared: Broadcast = rows.sparkSession.sparkContext.broadcast(filters.build(anchors, column, bits)[0])
+    shared: Broadcast = rows.sparkSession.sparkContext.broadcast(filters.build(anchors, column, bits, again=False)[0])
 
     def candidates(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         found = _Probe(texts, block)

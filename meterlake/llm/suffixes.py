@@ -377,8 +377,8 @@ def removed_ranges(rows: DataFrame, size: int, bits: int, block: int, frequent_f
     def column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield batch.column("anchor").to_numpy().view(np.uint64)
 
-    repeated = sc.broadcast(filters.build(known, column, bits)[0])
-    frequent = sc.broadcast(filters.build(known.filter(F.col("n") >= frequent_from), column, 1 << 18)[0])
+    repeated = sc.broadcast(filters.build(known, column, bits, again=False)[0])
+    frequent = sc.broadcast(filters.build(known.filter(F.col("n") >= frequent_from), column, 1 << 18, again=False)[0])
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = occurrences(rows, repeated, frequent, int(total // block) + 1, size)
     worked = materialize(found.groupBy("block").applyInArrow(lambda group: work_on_block(group, size), _RESULT), "ranges")
