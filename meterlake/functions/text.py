@@ -41,7 +41,7 @@ def tariff_name(flag: str) -> Column:
 def group_name(raw: str) -> Column:
     """The customer group, with a missing, empty or placeholder group made explicit."""
     trimmed = F.coalesce(F.trim(raw), F.lit(""))
-    return F.when(trimmed.isin(*BLANK_GROUP_CODES), UNCLASSIFIED).otherwise(F.col(raw))
+    return F.when(trimmed.isin(*BLANK_GROUP_CODES), UNCLASSIFIED).otherwise(trimmed)
 
 
 def safe_names(names: list[str]) -> list[str]:

@@ -1,6 +1,6 @@
 """The registered queries once more, as SQL for DuckDB over the same parquet tables.
 
-Models have no twin here; the tests check their invariants instead.
+Fits have no twin; what holds whatever the fit has one.
 """
 
 from __future__ import annotations
@@ -178,6 +178,7 @@ _FLAGS = {
     "season": "season IN ('Winter', 'Spring', 'Summer', 'Autumn')",
 }
 _SHAPE_SUM = " + ".join(f"hh_{i}" for i in SLOTS)
+_SHAPE_TOTAL = f"(CASE WHEN {_SHAPE_SUM} = 0 THEN 1 ELSE {_SHAPE_SUM} END)"
 
 _GAP = """
     SELECT h.name AS high_name, round(h.kwh, 3) AS high_kwh, l.name AS low_name, round(l.kwh, 3) AS low_kwh,
@@ -209,7 +210,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'gold', 'group_profile', (SELECT count(DISTINCT (group_name, tariff))
             FROM lake_readings JOIN households USING (meter_id))
         UNION ALL SELECT 'gold', 'load_profile', (SELECT count(DISTINCT hour(read_at) * 2 + minute(read_at) // 30)
-            FROM clean_readings)""", "lake_readings", "stamps", "households", "holidays"),
+            FROM clean_readings)
+        UNION ALL SELECT 'gold', 'segments', (SELECT count(DISTINCT meter_id) FROM lake_readings)""", "lake_readings", "stamps", "households", "holidays"),
     "silver_readings": _sql("""
         SELECT meter_id, read_at, CAST(read_at AS DATE) AS day, CAST(hour(read_at) AS INTEGER) AS hour,
                CAST(hour(read_at) * 2 + CASE WHEN minute(read_at) >= 30 THEN 1 ELSE 0 END AS INTEGER) AS half_hour,
@@ -224,6 +226,8 @@ ORACLES: dict[str, str] = {
         FROM slots GROUP BY meter_id, day""", "slots"),
     "silver_households": _sql("SELECT * FROM households", "households"),
     "silver_weather": _sql("SELECT * FROM weather", "weather"),
+    "dedup_households": _sql("SELECT * FROM households", "households"),
+    "dedup_weather_stamps": _sql("SELECT * FROM weather", "weather"),
     "silver_holidays": _sql("SELECT * FROM holidays", "holidays"),
     "gold_fact": _sql("SELECT * REPLACE (round(daily_kwh, 4) AS daily_kwh) FROM fact", "fact"),
     "gold_daily_totals": _sql("SELECT * FROM rounded_totals", "rounded_totals"),
@@ -296,9 +300,11 @@ ORACLES: dict[str, str] = {
         _fk("household_day -> households", "daily", "households", "meter_id"),
         _fk("household_day -> weather", "daily", "weather", "day"),
         _fk("household_day -> holidays (optional)", "daily", "holidays", "day"),
-        _fk("segments -> households", "slots", "households", "meter_id"),
+        _fk("segments -> households", "(SELECT DISTINCT meter_id FROM slots)", "households", "meter_id"),
     ]), "fact", "slots"),
     "contract_domain": _sql(" UNION ALL ".join([
+        _domain("readings_late", f"(SELECT hour + 12 AS hour FROM {_SLOT_COLUMNS})", "hour", "hour BETWEEN 0 AND 23"),
+        _domain("readings_late", f"(SELECT half_hour + 24 AS half_hour FROM {_SLOT_COLUMNS})", "half_hour", "half_hour BETWEEN 0 AND 47"),
         _domain("readings", _SLOT_COLUMNS, "hour", "hour BETWEEN 0 AND 23"),
         _domain("readings", _SLOT_COLUMNS, "half_hour", "half_hour BETWEEN 0 AND 47"),
         _domain("households", "households", "tariff", "tariff IN ('Standard', 'Time-of-Use')"),
@@ -313,6 +319,25 @@ ORACLES: dict[str, str] = {
     "ml_load_shape_l1": _sql(
         "SELECT meter_id, " + ", ".join(f"round(hh_{i} / total, 6) AS hh_{i}" for i in SLOTS)
         + f" FROM (SELECT *, CASE WHEN {_SHAPE_SUM} = 0 THEN 1 ELSE {_SHAPE_SUM} END AS total FROM shape)", "shape"),
+    "ml_segments_cover_meters": _sql("""
+        SELECT count(DISTINCT meter_id) AS n_rows, count(DISTINCT meter_id) AS meters, true AS in_range FROM slots""", "slots"),
+    "ml_segment_sizes_sum": _sql("SELECT count(DISTINCT meter_id) AS households FROM slots", "slots"),
+    "ml_segment_curves_mean": _sql(
+        "SELECT half_hour, round(avg(share), 6) AS share FROM ("
+        + " UNION ALL ".join(f"SELECT {i}::INTEGER AS half_hour, hh_{i} / {_SHAPE_TOTAL} AS share FROM shape" for i in SLOTS)
+        + ") GROUP BY half_hour", "shape"),
+    "ml_segment_totals": _sql("""
+        SELECT round(sum(kwh), 4) AS kwh, count(DISTINCT (meter_id, day)) AS days FROM slots WHERE kwh IS NOT NULL""", "slots"),
+    "ml_forecast_held_out": _sql("""
+        SELECT day, round(label, 6) AS actual, true AS predicted
+        FROM (SELECT *, row_number() OVER (ORDER BY day) <= floor(0.75 * count(*) OVER ()) AS is_train FROM days)
+        WHERE NOT is_train""", "days"),
+    "ml_forecast_baseline": _sql("""
+        SELECT round(sqrt(avg((label - m) ** 2)), 6) AS rmse, round(avg(abs(label - m)), 6) AS mae,
+               round(1 - avg((label - m) ** 2) / var_pop(label), 6) AS r2
+        FROM (SELECT *, avg(label) FILTER (is_train) OVER () AS m
+              FROM (SELECT *, row_number() OVER (ORDER BY day) <= floor(0.75 * count(*) OVER ()) AS is_train FROM days))
+        WHERE NOT is_train""", "days"),
     "ml_forecast_features": _sql("SELECT * FROM days", "days"),
     "ml_time_split": _sql("""
         SELECT day, row_number() OVER (ORDER BY day) <= floor(0.75 * count(*) OVER ()) AS is_train

@@ -14,6 +14,7 @@ from meterlake.operators.dedup import smallest_value
 from meterlake.operators.pivot import SLOT_COLUMNS
 from meterlake.plans import dashboard, findings, forecast, gold, pipeline, quality, segments, silver
 from meterlake.sources.lake import Lake
+from meterlake.sources.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,25 @@ def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.weather(spark, sf_dir).select("day", "temp_avg", "temp_max", "temp_min", "humidity")
 
 
+def dedup_households(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every household again with all but its id missing: the filled row stays."""
+    raw = inputs.raw_households(spark, sf_dir)
+    empty = raw.select("LCLid", *[F.lit(None).cast("string").alias(c) for c in raw.columns if c != "LCLid"])
+    return silver.clean_households(raw.unionByName(empty))
+
+
+def dedup_weather_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stamp again with an unreadable time and other values, and once more without values: neither stays."""
+    raw = inputs.raw_weather(spark, sf_dir)
+    unreadable = raw.select(
+        F.concat(F.substring("time", 1, 10), F.lit(" xx")).alias("time"),
+        *[F.lit("-99").alias(c) for c in raw.columns if c != "time"],
+    )
+    empty = raw.select("time", *[F.lit(None).cast("string").alias(c) for c in raw.columns if c != "time"])
+    dated = silver.clean_weather(raw.unionByName(unreadable).unionByName(empty))
+    return dated.select("day", "temp_avg", "temp_max", "temp_min", "humidity")
+
+
 def silver_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.holidays(spark, sf_dir)
 
@@ -233,27 +253,31 @@ def contract_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contract_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = inputs.star(spark, sf_dir)
-    # every reading's meter gets a segment, so the readings stand for the segment table
-    meters = inputs.readings(spark, sf_dir)
     return _union([
         quality.orphans(star.daily, star.households, "meter_id", "household_day -> households"),
         quality.orphans(star.daily, star.weather, "day", "household_day -> weather"),
         quality.orphans(star.daily, star.holidays, "day", "household_day -> holidays (optional)"),
-        quality.orphans(meters, star.households, "meter_id", "segments -> households"),
+        quality.orphans(ml_segments(spark, sf_dir), star.households, "meter_id", "segments -> households"),
     ])
 
 
 def contract_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = inputs.star(spark, sf_dir)
+    readings = silver_readings(spark, sf_dir)
+    # half a day late, so that the afternoon leaves its domains
+    late = readings.withColumns({"hour": F.col("hour") + 12, "half_hour": F.col("half_hour") + 24})
     return _union([
-        quality.outside_domains(rows, table.domains, table.name)
-        for rows, table in [
-            (silver_readings(spark, sf_dir), t.SILVER_READINGS),
-            (star.households, t.SILVER_HOUSEHOLDS),
-            (star.fact(), t.GOLD_FACT),
-            (star.totals(rounded=True), t.GOLD_DAILY_TOTALS),
-            (gold_load_profile(spark, sf_dir), t.GOLD_LOAD_PROFILE),
-        ]
+        quality.outside_domains(late, t.SILVER_READINGS.domains, "readings_late"),
+        *[
+            quality.outside_domains(rows, table.domains, table.name)
+            for rows, table in [
+                (readings, t.SILVER_READINGS),
+                (star.households, t.SILVER_HOUSEHOLDS),
+                (star.fact(), t.GOLD_FACT),
+                (star.totals(rounded=True), t.GOLD_DAILY_TOTALS),
+                (gold_load_profile(spark, sf_dir), t.GOLD_LOAD_PROFILE),
+            ]
+        ],
     ])
 
 
@@ -284,6 +308,33 @@ def ml_segment_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.segment_curves(_shares(spark, sf_dir), ml_segments(spark, sf_dir))
 
 
+def ml_segments_cover_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever the fit: every meter has one segment, and they are numbered from 0 to 2."""
+    labelled = ml_segments(spark, sf_dir)
+    in_range = F.coalesce(F.min("segment") >= 0, F.lit(False)) & (F.max("segment") < segments.SEGMENTS)
+    return labelled.agg(F.count("*").alias("n_rows"), F.countDistinct("meter_id").alias("meters"), in_range.alias("in_range"))
+
+
+def ml_segment_sizes_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever the fit: the sizes of the segments add up to the meters."""
+    return tile_8_segments(spark, sf_dir).agg(F.sum("households").alias("households"))
+
+
+def ml_segment_curves_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever the fit: the curves weighted by the sizes are the mean share of all meters."""
+    shares, labelled = _shares(spark, sf_dir), materialize(ml_segments(spark, sf_dir), "segments")
+    sized = segments.segment_curves(shares, labelled).join(dashboard.segment_sizes(labelled), "segment")
+    mean = F.sum(F.col("share") * F.col("households")) / F.sum("households")
+    return sized.groupBy("half_hour").agg(F.round(mean, 6).alias("share"))
+
+
+def ml_segment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever the fit: energy and meter-days of the segments add up to all of them."""
+    daily = silver.daily_statistics(inputs.readings(spark, sf_dir), rounded=False)
+    totals = dashboard.segment_totals(daily, ml_segments(spark, sf_dir))
+    return totals.agg(F.round(F.sum("kwh"), 4).alias("kwh"), F.sum("days").alias("days"))
+
+
 def ml_forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.features(gold_daily_totals(spark, sf_dir))
 
@@ -304,6 +355,18 @@ def ml_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.metrics(_forecast(spark, sf_dir).predictions)
 
 
+def ml_forecast_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out days, their actual values, and whether a prediction is there."""
+    found = _forecast(spark, sf_dir).predictions
+    return found.select("day", F.round("actual", 6).alias("actual"), F.col("prediction").isNotNull().alias("predicted"))
+
+
+def ml_forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the mean of the training days: what the model has to beat."""
+    split = forecast.time_split(ml_forecast_features(spark, sf_dir))
+    return _rounded(forecast.metrics(forecast.mean_baseline(split)), 6, "rmse", "mae", "r2")
+
+
 def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.importances(_forecast(spark, sf_dir))
 
@@ -313,6 +376,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         csv_ingest, medallion_roundtrip, layer_audit,
         silver_readings, dedup_by_key, silver_daily, silver_households, silver_weather, silver_holidays,
+        dedup_households, dedup_weather_stamps,
         gold_fact, gold_daily_totals, gold_daily_totals_from_fact, gold_group_profile, gold_load_profile,
         tile_1_kpi, tile_2_trend, tile_3_detail_category, tile_4_tariff, tile_4_tariff_weighted,
         tile_5_demand_vs_temp, tile_6_season_effects, tile_7_load_curve, tile_8_segments, tile_9_top_households,
@@ -320,6 +384,7 @@ QUERIES: dict[str, Query] = {
         finding_peak_slots, finding_category_gap, finding_tariff_gap, finding_season_gap,
         contract_pk, contract_fk, contract_domain,
         ml_load_shape, ml_load_shape_l1, ml_silhouette_sweep, ml_segments, ml_segment_curves,
-        ml_forecast_features, ml_time_split, ml_forecast, ml_forecast_metrics, ml_feature_importance,
+        ml_segments_cover_meters, ml_segment_sizes_sum, ml_segment_curves_mean, ml_segment_totals,
+        ml_forecast_held_out, ml_forecast_baseline, ml_forecast_features, ml_time_split, ml_forecast, ml_forecast_metrics, ml_feature_importance,
     )
 }

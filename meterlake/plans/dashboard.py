@@ -132,33 +132,39 @@ def segment_sizes(segments: DataFrame) -> DataFrame:
     return segments.groupBy("segment").agg(F.count("*").alias("households")).orderBy("segment")
 
 
-def segment_consumption(daily: DataFrame, segments: DataFrame) -> DataFrame:
-    """Homes and average daily consumption of each segment (star relation on the meter).
-
-    Meter-days are summed per meter before the join, so it moves one row per meter.
-    """
+def segment_totals(daily: DataFrame, segments: DataFrame) -> DataFrame:
+    """Homes, kWh and meter-days of each segment; summed per meter before the join."""
     per_meter = daily.groupBy("meter_id").agg(
         F.sum("energy_sum").alias("kwh"), F.count("energy_sum").alias("days")
     )
     return (
         per_meter.join(segments, "meter_id")
         .groupBy("segment")
-        .agg(
-            F.count("*").alias("households"),
-            F.round(F.sum("kwh") / F.sum("days"), 3).alias("avg_daily_kwh"),
-        )
-        .orderBy("segment")
+        .agg(F.count("*").alias("households"), F.sum("kwh").alias("kwh"), F.sum("days").alias("days"))
     )
 
 
+def segment_consumption(daily: DataFrame, segments: DataFrame) -> DataFrame:
+    """Homes and average daily consumption of each segment (star relation on the meter).
+
+    Meter-days are summed per meter before the join, so it moves one row per meter.
+    """
+    average = F.round(F.try_divide("kwh", "days"), 3).alias("avg_daily_kwh")
+    return segment_totals(daily, segments).select("segment", "households", average).orderBy("segment")
+
+
 def top_households(fact: DataFrame, k: int = 15, digits: int | None = 2) -> DataFrame:
     """The k meters with the highest average day; equal averages in meter order.
 
-    Tariff and category belong to the meter, so they are keys: a maximum of text would sort.
+    A meter with several tariffs or categories shows the greatest.
     """
     return (
-        fact.groupBy("meter_id", "tariff", "detail_code")
-        .agg(_round(F.avg("daily_kwh"), digits).alias("avg_daily_kwh"))
+        fact.groupBy("meter_id")
+        .agg(
+            _round(F.avg("daily_kwh"), digits).alias("avg_daily_kwh"),
+            F.max("tariff").alias("tariff"),
+            F.max("detail_code").alias("detail_code"),
+        )
         .select("meter_id", "avg_daily_kwh", "tariff", "detail_code")
         .orderBy(F.desc("avg_daily_kwh"), "meter_id")
         .limit(k)

@@ -18,7 +18,7 @@ def peak_slots(profile: DataFrame, slots: int = PEAK_SLOTS) -> DataFrame:
 
 
 def gap(rows: DataFrame, name: str, kwh: str, digits: int = 3) -> DataFrame:
-    """Highest against lowest row of a small result, and how far above it lies in percent."""
+    """Highest against lowest row of a small result, and how far above it lies in percent; null above 0."""
     named = rows.filter(F.col(name).isNotNull() & F.col(kwh).isNotNull())
     ends = named.agg(
         F.max(F.struct(kwh, name)).alias("high"),
@@ -30,7 +30,7 @@ def gap(rows: DataFrame, name: str, kwh: str, digits: int = 3) -> DataFrame:
         F.round(high, digits).alias("high_kwh"),
         F.col(f"low.{name}").alias("low_name"),
         F.round(low, digits).alias("low_kwh"),
-        F.round((high - low) / low * 100, 1).alias("gap_pct"),
+        F.round(F.try_divide(high - low, low) * 100, 1).alias("gap_pct"),
     )
 
 
@@ -45,5 +45,5 @@ def season_gap(effects: DataFrame, high: str = "Winter", low: str = "Summer") ->
         F.round("h", 3).alias("high_kwh"),
         F.lit(low).alias("low_name"),
         F.round("l", 3).alias("low_kwh"),
-        F.round((F.col("h") - F.col("l")) / F.col("l") * 100, 1).alias("gap_pct"),
+        F.round(F.try_divide(F.col("h") - F.col("l"), F.col("l")) * 100, 1).alias("gap_pct"),
     )

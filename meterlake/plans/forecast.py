@@ -66,15 +66,22 @@ def fit_forecast(days: DataFrame, trees: int = TREES, share: float = TRAINING_SH
 
 
 def metrics(predictions: DataFrame) -> DataFrame:
-    """``rmse, mae, r2`` of actual against predicted."""
+    """``rmse, mae, r2`` of actual against predicted; r2 is null where all actual values are equal."""
     error = F.col("actual") - F.col("prediction")
     return predictions.agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (1 - F.avg(error * error) / F.var_pop("actual")).alias("r2"),
+        (1 - F.try_divide(F.avg(error * error), F.var_pop("actual"))).alias("r2"),
     )
 
 
+def mean_baseline(split: DataFrame) -> DataFrame:
+    """``day, actual, prediction`` of the held-out days, predicted by the mean of the training days."""
+    mean = split.filter("is_train").agg(F.avg("label").alias("prediction"))
+    held_out = split.filter("NOT is_train").select("day", F.col("label").alias("actual"))
+    return held_out.crossJoin(F.broadcast(mean))  # one row
+
+
 def importances(forecast: Forecast) -> DataFrame:
     """``feature, importance``, most important first."""
     rows = [(name, float(score)) for name, score in zip(FEATURES, forecast.model.featureImportances.toArray())]

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import calendar
 from meterlake.functions.rounding import rounder
-from meterlake.operators.joins import left_join_dimension
 
 DAY_ATTRIBUTES = ("season", "is_weekend", "is_holiday")
 
@@ -31,10 +30,9 @@ def with_household(daily: DataFrame, households: DataFrame) -> DataFrame:
 def with_calendar(rows: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
     """Weather, holiday name and calendar columns of ``day``.
 
-    Both dimensions have one row per calendar day, so they are broadcast once counted.
+    Both dimensions have one row per calendar day; saved, their size is known and the planner broadcasts them.
     """
-    joined = left_join_dimension(rows, weather, "day")
-    joined = left_join_dimension(joined, holidays.select("day", "holiday_name"), "day")
+    joined = rows.join(weather, "day", "left").join(holidays.select("day", "holiday_name"), "day", "left")
     return with_day_attributes(joined)
 
 

@@ -80,4 +80,5 @@ def run(lake: Lake) -> None:
     land_sources(lake)
     build_silver(lake)
     build_gold(lake)
+    build_segments(lake)
     lake.write_audit()

@@ -6,7 +6,8 @@ driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
@@ -50,6 +51,16 @@ def shape_vectors(shares: DataFrame) -> DataFrame:
     return materialize(vectors.sortWithinPartitions("meter_id"), "load-shapes")
 
 
+@contextmanager
+def _held(vectors: DataFrame) -> Iterator[DataFrame]:
+    """One persisted copy that all fits share; without it each fit persists its own."""
+    held = vectors.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def _starts(vectors: DataFrame, k: int, starts: int, seed: int) -> list[Callable[[], KMeansModel]]:
     def fit(start_seed: int) -> Callable[[], KMeansModel]:
         estimator = KMeans(k=k, seed=start_seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE)
@@ -66,7 +77,8 @@ def fit_segments(
     vectors: DataFrame, k: int = SEGMENTS, starts: int = STARTS, seed: int = SEED
 ) -> KMeansModel:
     """The fit with the lowest cost among several starts."""
-    return _cheapest(together(vectors.sparkSession, _starts(vectors, k, starts, seed)))
+    with _held(vectors) as held:
+        return _cheapest(together(vectors.sparkSession, _starts(held, k, starts, seed)))
 
 
 def silhouettes(
@@ -74,10 +86,11 @@ def silhouettes(
 ) -> DataFrame:
     """``k, silhouette`` (squared Euclidean) of the best fit for each k."""
     spark = vectors.sparkSession
-    fits = together(spark, [job for k in ks for job in _starts(vectors, k, starts, seed)])
-    best = [_cheapest(fits[i * starts : (i + 1) * starts]) for i in range(len(ks))]
     evaluator = ClusteringEvaluator()
-    scores = together(spark, [lambda m=m: evaluator.evaluate(m.transform(vectors)) for m in best])
+    with _held(vectors) as held:
+        fits = together(spark, [job for k in ks for job in _starts(held, k, starts, seed)])
+        best = [_cheapest(fits[i * starts : (i + 1) * starts]) for i in range(len(ks))]
+        scores = together(spark, [lambda m=m: evaluator.evaluate(m.transform(held)) for m in best])
     return spark.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
 
 

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from meterlake.harness import inputs
-from meterlake.operators.joins import left_join_dimension
+from meterlake.sources.scratch import materialize
 from meterlake.plans import dashboard, findings, gold
 
 D = datetime.date
@@ -75,13 +75,13 @@ def test_group_profile_counts_distinct_homes_and_keeps_unknown_cells(star):
     ], key=repr)
 
 
-def test_dimension_join_gives_the_same_rows_beyond_the_broadcast_bound(spark, star):
-    daily, _, weather, _ = star
-    small = left_join_dimension(daily, weather, "day")
-    large = left_join_dimension(daily, weather, "day", max_broadcast_rows=2)
-    assert rows(small) == rows(large)
-    hints = [j._jdf.queryExecution().analyzed().toString().count("broadcast") for j in (small, large)]
-    assert hints == [1, 0]
+def test_dimensions_are_broadcast_and_nothing_runs_while_planning(spark, star):
+    daily, _, weather, holidays = star
+    weather, holidays = materialize(weather, "test-weather"), materialize(holidays, "test-holidays")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    joined = gold.with_calendar(daily, weather, holidays)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == 0
+    assert joined._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
 
 
 def test_load_profile_has_one_row_per_slot(spark, sf_dir):

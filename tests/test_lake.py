@@ -131,7 +131,7 @@ def test_a_second_run_gives_the_same_tables_and_adds_to_the_audit(spark, lake):
     counted = {(r.layer, r.table_name): r.row_count for r in audit.filter(audit.run_id == lake.run_id).collect()}
     for (layer, name), count in counted.items():
         assert spark.table(lake.config.table(layer, name)).count() == count
-    assert len(counted) == 13
+    assert len(counted) == 14
 
 
 def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):

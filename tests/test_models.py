@@ -147,3 +147,12 @@ def test_forecast_learns_and_its_metrics_are_right(spark):
 def test_model_parameters_are_the_published_ones():
     assert (segments.SEGMENTS, segments.STARTS, segments.SEED, segments.SWEEP) == (3, 10, 42, (2, 3, 4, 5, 6))
     assert (forecast.TREES, forecast.DEPTH, forecast.LEARNING_RATE, forecast.TRAINING_SHARE) == (200, 3, 0.05, 0.75)
+
+
+def test_fits_share_one_copy_and_leave_none(spark, sf_dir):
+    vectors = segments.shape_vectors(segments.share_of_day(segments.load_shape(inputs.readings(spark, sf_dir))))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with segments._held(vectors) as held:
+        assert held.storageLevel.useMemory  # a fit persists its input only if nothing else has
+    segments.fit_segments(vectors, starts=2)
+    assert not vectors.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -5,12 +5,14 @@ from __future__ import annotations
 import pytest
 from oracle_check import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from meterlake.harness.oracles import ORACLES
+from meterlake.harness.queries import QUERIES
 
-SLOW = {"ml_forecast", "ml_forecast_metrics", "ml_feature_importance"}  # one fit of 200 trees each
 NO_SQL = {
     "tile_8_segments", "segment_consumption", "ml_silhouette_sweep", "ml_segments", "ml_segment_curves",
-} | SLOW
+    "ml_forecast", "ml_forecast_metrics", "ml_feature_importance",
+}
 
 
 @pytest.fixture(scope="module")
@@ -19,18 +21,18 @@ def duck(sf_dir):
 
 
 def test_every_query_but_the_models_has_a_twin():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, sf_dir, duck, name):
-    assert differences(queries()[name](spark, sf_dir), duck, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(NO_SQL - SLOW))
+@pytest.mark.parametrize("name", sorted(NO_SQL))
 def test_models_return_rows(spark, sf_dir, name):
-    assert queries()[name](spark, sf_dir).count() > 0
+    assert QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_entry(spark):

@@ -57,12 +57,12 @@ def test_dedup_against_brute_force(spark, data):
     assert rows(smallest_row(frame, ["m", "s"])) == expected
 
 
-def test_smallest_row_prefers_given_columns_then_nulls_first(spark):
+def test_smallest_row_prefers_given_columns_and_values_over_nulls(spark):
     frame = spark.createDataFrame(
         [("k", 2, "a", None), ("k", 1, "z", 5), ("k", 1, "z", None), ("l", 1, None, 1)],
         "key string, first int, other string, number int",
     )
-    assert rows(smallest_row(frame, ["key"], first_by=["first"])) == [("k", 1, "z", None), ("l", 1, None, 1)]
+    assert rows(smallest_row(frame, ["key"], first_by=["first"])) == [("k", 1, "z", 5), ("l", 1, None, 1)]
 
 
 def test_daily_statistics_against_python(spark):
