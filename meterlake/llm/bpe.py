@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.text import chunks, rows_of
 
 #: Pieces that a task remembers at the start of a chunk; with more it starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 NO_RANK = (1 << 31) - 1
 #: Fixed: the pattern of byte-level tokenizer files that say ``use_regex``.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -106,7 +106,7 @@ class Vocabulary:
 class _PairTable:
     """Ranks of pairs in two hash tables without collisions: what collides in the first is in the second."""
 
-    BITS = 20
+    BITS = 18
 
     def __init__(self, keys: np.ndarray):
         self.tables = []
@@ -142,6 +142,12 @@ def shared_vocabulary(context: SparkContext, file: str) -> Broadcast:
     return context.broadcast(Vocabulary(file))
 
 
+@functools.lru_cache(1)
+def shared_spelling(context: SparkContext, file: str) -> Broadcast:
+    """The bytes of each id alone, for tasks that only decode."""
+    return context.broadcast(shared_vocabulary(context, file).value.spelled)
+
+
 class Encoder:
     """Encodes texts; remembers the ids of pieces and encodes all new pieces of a call together."""
 
@@ -211,10 +217,10 @@ def decode(encoded: DataFrame, tokenizer_file: str, id_col: str = "id", ids_col:
 
     Null ids decode to the empty text, an unknown id raises KeyError.
     """
-    held = shared_vocabulary(encoded.sparkSession.sparkContext, tokenizer_file)
+    held = shared_spelling(encoded.sparkSession.sparkContext, tokenizer_file)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = held.value.spelled
+        spelled = held.value
         for batch in batches:
             texts = []
             for k in range(batch.num_rows):

@@ -24,7 +24,7 @@ SMOOTHING = 0.1
 SWITCH_PENALTY = 12.0
 #: A language uses a script if this share of its words is written in it.
 MIN_SCRIPT_SHARE = 0.01
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 LATIN, GREEK, CYRILLIC, HEBREW, ARABIC, INDIC, THAI, KANA, HAN, HANGUL, OTHER = range(1, 12)
 SCRIPTS = 12

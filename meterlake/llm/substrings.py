@@ -27,7 +27,7 @@ from meterlake.sources.scratch import materialize
 
 WINDOW = 50
 FILTER_BITS = 1 << 26
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 _SECOND_BASE = 0xA0761D6478BD642F
 
 

@@ -1,6 +1,6 @@
 """Whole texts as byte arrays: chunks of a batch, words, their hashes and rolling windows, in numpy.
 
-Every kernel here works on a few megabytes of text at a time, whatever the size of an Arrow batch;
+Every kernel here works on a part of a batch at a time, whatever the size of an Arrow batch;
 one text longer than that is a chunk of its own, so no text is ever cut.
 """
 
@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 LAST_ID = (1 << 63) - 1
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: True for bytes of the words [^\x20\x09-\x0D]+.
@@ -26,8 +28,16 @@ ALNUM_BYTES = np.zeros(256, bool)
 ALNUM_BYTES[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+def _short_batches(docs: DataFrame) -> None:
+    """Texts are long: Arrow batches of this session get no more than so many rows."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
+        conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+
+
 def rows_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """The two columns that an operator reads, as ``id`` (long) and ``text`` (binary); others may have any name."""
+    _short_batches(docs)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), *more)
 
 
@@ -53,6 +63,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
 
     A null id counts as the largest, a null text as empty.
     """
+    _short_batches(docs)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"), *more
