@@ -8,7 +8,8 @@ two documents share, hits are extended: the windows there are compared by 96-bit
 windows join to maximal repeats.
 
 A chunk of documents settles repeats among its own at once, so that a passage found in a third of all
-documents is shuffled once for each chunk and not for each document.
+documents is shuffled once for each chunk and not for each document. Windows around anchors of many chunks are
+dealt to shares by document; only the first documents of the shares then meet in one group.
 """
 
 from __future__ import annotations
@@ -22,11 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm import filters
-from meterlake.llm.text import WORD_BYTES, Blob, Words, chunks, covered, keyed, per_chunk, rolling, signed
+from meterlake.llm.text import WORD_BYTES, Blob, Words, chunks, covered, keyed, mix, per_chunk, rolling, signed
 from meterlake.sources.scratch import materialize
 
 WINDOW = 50
 FILTER_BITS = 1 << 26
+#: Chunks that hold an anchor from which its windows are dealt to shares; decides where rows meet, not what is found.
+FREQUENT = 256
+SHARES = 64
 _CHUNK = 2 << 20
 _SECOND_BASE = 0xA0761D6478BD642F
 
@@ -53,7 +57,7 @@ def _index_filter(rows: DataFrame, block: int, bits: int) -> filters.Filter:
 
 
 def shared_anchors(rows: DataFrame, block: int, bits: int) -> DataFrame:
-    """(anchor): hashes of index blocks that rolling windows of two documents or more hold."""
+    """(anchor, n): hashes of index blocks that rolling windows of two documents or more hold, and in how many chunks."""
     index = rows.sparkSession.sparkContext.broadcast(_index_filter(rows, block, bits))
 
     def probe(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
@@ -71,17 +75,35 @@ def shared_anchors(rows: DataFrame, block: int, bits: int) -> DataFrame:
         )
 
     hits = rows.mapInArrow(per_chunk(probe, _CHUNK), "anchor long, low long, high long")
-    return hits.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("anchor")
+    held = hits.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
+    return held.filter("low < high").select("anchor", "n")
 
 
-def repeated_windows(rows: DataFrame, window: int, block: int, bits: int) -> DataFrame:
+def later_than_first(found: DataFrame) -> DataFrame:
+    """The rows that are settled (``run`` > 0) or of whose window a smaller id is there.
+
+    Rows with ``share`` > 0 are compared within their share first, and the smallest ids of the shares with each other,
+    so that one window is never one group. Both branches read one shuffle of the rows.
+    """
+    window = ["first", "second"]
+    first_here = F.min("id").over(Window.partitionBy(*window, "share", F.col("run") > 0))
+    dealt = found.withColumn("owner", first_here).withColumn("later", (F.col("run") > 0) | (F.col("id") > F.col("owner")))
+    columns = ["id", "key", "start", "run"]
+    leaders = dealt.filter(~F.col("later") & (F.col("share") > 0)).select(*window, *columns)
+    beaten = leaders.withColumn("owner", F.min("id").over(Window.partitionBy(*window))).filter(F.col("id") > F.col("owner"))
+    return dealt.filter("later").select(*columns).union(beaten.select(*columns))
+
+
+def repeated_windows(rows: DataFrame, window: int, block: int, bits: int, frequent_from: int) -> DataFrame:
     """(id, key, start, run): runs of windows, by the place of their first word, that a smaller id holds as well."""
 
     def column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield batch.column("anchor").to_numpy().view(np.uint64)
 
     anchors = materialize(shared_anchors(rows, block, bits), "anchors")
-    shared: Broadcast = rows.sparkSession.sparkContext.broadcast(filters.build(anchors, column, bits, again=False)[0])
+    sc = rows.sparkSession.sparkContext
+    shared: Broadcast = sc.broadcast(filters.build(anchors, column, bits, again=False)[0])
+    frequent: Broadcast = sc.broadcast(filters.build(anchors.filter(F.col("n") >= frequent_from), column, 1 << 18, again=False)[0])
 
     def candidates(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         found = _Probe(texts, block)
@@ -90,6 +112,8 @@ def repeated_windows(rows: DataFrame, window: int, block: int, bits: int) -> Dat
         # windows that contain an anchor and lie within one text
         low = np.maximum(at - (window - block), at - found.offset[at])
         near = covered(low, at - low + 1, len(found.runs))
+        hot = frequent.value.holds(found.runs[at])
+        often = covered(low[hot], (at - low + 1)[hot], len(found.runs))
         first = rolling(found.hashes, window)
         near = near[: len(first)] & (found.left[: len(first)] >= window)
         at = np.flatnonzero(near)
@@ -112,28 +136,27 @@ def repeated_windows(rows: DataFrame, window: int, block: int, bits: int) -> Dat
         place = np.concatenate([at[open_], sure])
         docs = found.words.doc[place]
         start = (place - found.words.first[docs]).astype(np.int32)
-        spread = (start.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ batch.column("key").to_numpy().view(np.uint64)[docs]
+        keys = batch.column("key").to_numpy()[docs].view(np.uint64)
+        share = np.where(often[place], 1 + mix(keys) % np.uint64(SHARES), 0)
+        share[open_.sum() :] = 0
+        spread = (start.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ keys
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(signed(np.concatenate([first[open_], spread[open_.sum() :]]))),
                 pa.array(np.concatenate([second[open_], np.zeros(len(sure), np.int32)])),
                 batch.column("id").take(pa.array(docs)), batch.column("key").take(pa.array(docs)), pa.array(start),
-                pa.array(np.concatenate([np.zeros(open_.sum(), np.int32), runs.astype(np.int32)])),
+                pa.array(np.concatenate([np.zeros(open_.sum(), np.int32), runs.astype(np.int32)])), pa.array(share.astype(np.int8)),
             ],
-            names=["first", "second", "id", "key", "start", "run"],
+            names=["first", "second", "id", "key", "start", "run", "share"],
         )
 
-    found = rows.mapInArrow(per_chunk(candidates, _CHUNK), "first long, second int, id long, key long, start int, run int")
-    owner = F.min("id").over(Window.partitionBy("first", "second", F.col("run") > 0))
-    return (
-        found.withColumn("owner", owner)
-        .filter((F.col("run") > 0) | (F.col("id") > F.col("owner")))
-        .select("id", "key", "start", F.greatest("run", F.lit(1)).alias("run"))
-    )
+    found = rows.mapInArrow(per_chunk(candidates, _CHUNK), "first long, second int, id long, key long, start int, run int, share byte")
+    return later_than_first(found).withColumn("run", F.greatest("run", F.lit(1)))
 
 
 def dedup_substrings(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, bits: int = FILTER_BITS,
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """(id, key, n_words, n_removed, kept): texts without the words inside windows that a smaller id holds.
 
@@ -146,7 +169,7 @@ def dedup_substrings(
     block = (window + 1) // 2
     if window < 3:
         raise ValueError("windows start at 3 words")
-    runs = repeated_windows(rows, window, block, bits).groupBy("id", "key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
+    runs = repeated_windows(rows, window, block, bits, frequent).groupBy("id", "key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
     joined = rows.join(runs.hint("shuffle_hash"), ["id", "key"], "left").select("id", "key", "text", "runs.start", "runs.run")
 
     def cut(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

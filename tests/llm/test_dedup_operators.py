@@ -77,6 +77,25 @@ def test_substrings_other_windows(spark, window):
     assert kept(found, "id", "n_words", "n_removed") == sorted(brute.substring_dedup(pairs(docs), window), key=repr)
 
 
+def test_substrings_of_frequent_anchors(spark, hard_docs):
+    found = substrings.dedup_substrings(hard_docs.repartition(9), bits=SMALL, frequent=1)
+    assert kept(found, "id", "n_words", "n_removed") == sorted(brute.substring_dedup(pairs(hard_docs)), key=repr)
+    docs = spark.createDataFrame([(200 - k, f"{prose(k, 30)} {prose(500, 90)} {prose(1000 + k % 9, 60)}") for k in range(200)], "doc_id long, text string")
+    found = substrings.dedup_substrings(docs.repartition(20), bits=SMALL, frequent=10)
+    assert kept(found, "id", "n_words", "n_removed") == sorted(brute.substring_dedup(pairs(docs)), key=repr)
+
+
+def test_substrings_frequent_windows_shuffle_once(spark):
+    """The rows of both branches come from one run of the kernel and one exchange."""
+    rows = [(1, 1, k, k, 0, 0, 1 + k % 3) for k in range(300)] + [(2, 2, k, k, 1, 4, 0) for k in range(5)]
+    found = spark.createDataFrame(rows, "first long, second int, id long, key long, start int, run int, share byte")
+    found = found.repartition(4).mapInArrow(lambda batches: batches, found.schema)
+    later = substrings.later_than_first(found)
+    assert sorted(r.id for r in later.collect()) == sorted([*range(1, 300), *range(5)])
+    plan = later._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+
+
 def test_substrings_given_texts(spark, sf_dir):
     docs = queries.documents(spark, sf_dir)
     expected = sorted(brute.substring_dedup(pairs(docs)), key=repr)
