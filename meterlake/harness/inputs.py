@@ -21,14 +21,19 @@ from meterlake.config import SOURCE_FILES, LakeConfig
 from meterlake.plans import gold, silver
 from meterlake.sources.scratch import materialize, shared_folder
 
+#: Days from the calendar of the orders to that of the events, 2000-01-01 to 2024-01-01, for the dimensions of a lake.
+LAKE_DAYS = 8766
+#: The readings of a lake come in so many named files.
+READING_FILES = 5
+
 KWH_DIVISOR = 9973.0  # a prime: no consumption ends in an exact half, so rounding is unambiguous
 
 # bronze name -> header of the source file
 FILE_HEADERS = {"energy_kWh_hh": "energy(kWh/hh)", "Bank_holidays": "Bank holidays"}
 
-# columns of the weather file that the test tables have no data for; one the lake does not know
+# columns of the weather file that the test tables have no data for, one the lake does not know; uvIndex is absent
 OTHER_WEATHER_COLUMNS = {
-    "windSpeed": None, "cloudCover": None, "pressure": None, "uvIndex": None,
+    "windSpeed": None, "cloudCover": None, "pressure": None,
     "precipType": "rain", "summary": "none", "icon": "cloud",
 }
 
@@ -187,28 +192,42 @@ def totals(spark: SparkSession, sf_dir: str, rounded: bool) -> DataFrame:
     )
 
 
+def new_lake(spark: SparkSession) -> LakeConfig:
+    """A namespace and folders of their own."""
+    run = uuid.uuid4().hex
+    return LakeConfig(
+        source_root=f"{shared_folder(spark)}/sources-{run}",
+        namespace=f"lake_{run}",
+        table_root=f"{shared_folder(spark)}/tables-{run}",
+    )
+
+
 def write_sources(
     spark: SparkSession, sf_dir: str, sources: tuple[str, ...] = tuple(SOURCE_FILES)
 ) -> LakeConfig:
     """The raw frames as CSV files under the layout a lake reads, in new folders."""
+    def later(column: str):
+        day = F.date_add(F.try_to_date(F.substring(column, 1, 10)), LAKE_DAYS).cast("string")
+        return F.coalesce(F.concat(day, F.expr(f"substring({column}, 11)")), F.col(column))
+
     raw = {
         "readings": raw_readings,
         "households": lambda *at: raw_households(*at).withColumn("file", F.lit("block_0")),
-        "holidays": raw_holidays,
+        "holidays": lambda *at: raw_holidays(*at).withColumn("Bank_holidays", later("Bank_holidays")),
         "weather": lambda *at: raw_weather(*at).withColumns(
-            {name: F.lit(value).cast("string") for name, value in OTHER_WEATHER_COLUMNS.items()}
+            {"time": later("time"), **{name: F.lit(value).cast("string") for name, value in OTHER_WEATHER_COLUMNS.items()}}
         ),
     }
-    run = uuid.uuid4().hex
-    config = LakeConfig(
-        source_root=f"{shared_folder(spark)}/sources-{run}",
-        namespace=f"lake_{run}",
-        table_root=f"{shared_folder(spark)}/tables-{run}",
-    )
+    config = new_lake(spark)
+
     def write(source: str) -> None:
         rows = raw[source](spark, sf_dir)
         named = rows.withColumnsRenamed({k: v for k, v in FILE_HEADERS.items() if k in rows.columns})
-        named.write.options(
+        files = []
+        if source == "readings":
+            # folders whose names match the glob of the reading files
+            named, files = named.withColumn("name", F.format_string("block_%d.csv", F.col("LCLid") % READING_FILES)), ["name"]
+        named.write.partitionBy(*files).options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(config.source_path(source).removesuffix("/*.csv"))
 

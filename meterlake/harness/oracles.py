@@ -127,6 +127,21 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM rounded_totals WHERE temp_avg IS NOT NULL AND avg_kwh_per_home IS NOT NULL"""),
     "lake_readings": (("clean_readings",), """
         SELECT meter_id, CAST(read_at AS DATE) AS day, kwh FROM clean_readings"""),
+    "lake_daily": (("lake_readings",), "SELECT meter_id, day, sum(kwh) AS daily_kwh FROM lake_readings GROUP BY 1, 2"),
+    # the dimensions of a lake are moved to the days of the events
+    "lake_weather": (("weather",), "SELECT day + 8766 AS day, temp_avg FROM weather"),
+    "lake_holidays": (("holidays",), "SELECT day + 8766 AS day FROM holidays"),
+    "lake_fact": (("lake_daily", "households", "lake_weather", "lake_holidays"), """
+        SELECT d.meter_id, d.day, d.daily_kwh, h.tariff, h.group_name, round(w.temp_avg, 2) AS temp_avg,
+               CAST(dayofweek(d.day) IN (0, 6) AS INTEGER) AS is_weekend,
+               CAST(y.day IS NOT NULL AS INTEGER) AS is_holiday,
+               CASE WHEN month(d.day) IN (12, 1, 2) THEN 'Winter'
+                    WHEN month(d.day) IN (3, 4, 5) THEN 'Spring'
+                    WHEN month(d.day) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season
+        FROM lake_daily d
+        LEFT JOIN households h ON d.meter_id = h.meter_id
+        LEFT JOIN lake_weather w ON d.day = w.day
+        LEFT JOIN lake_holidays y ON d.day = y.day"""),
 }
 
 
@@ -177,6 +192,12 @@ _FLAGS = {
     "is_holiday": "is_holiday IN (0, 1)",
     "season": "season IN ('Winter', 'Spring', 'Summer', 'Autumn')",
 }
+# Columns a saved table lacks; the weather file of the lake has no uvIndex.
+_SCHEMAS = {
+    "bronze.readings": 0, "bronze.households": 0, "bronze.holidays": 0, "bronze.weather": 1,
+    "silver.readings": 0, "silver.daily": 0, "silver.households": 0, "silver.weather": 0, "silver.holidays": 0,
+    "gold.household_day": 0, "gold.daily_totals": 0, "gold.group_profile": 0, "gold.load_profile": 0, "gold.segments": 0,
+}
 _SHAPE_SUM = " + ".join(f"hh_{i}" for i in SLOTS)
 _SHAPE_TOTAL = f"(CASE WHEN {_SHAPE_SUM} = 0 THEN 1 ELSE {_SHAPE_SUM} END)"
 
@@ -189,7 +210,7 @@ _GAP = """
 ORACLES: dict[str, str] = {
     "csv_ingest": _sql("""
         SELECT CAST(meter_id AS VARCHAR) AS meter_id, tstp AS read_at_text, energy AS kwh_text,
-               'halfhourly' AS source_folder FROM raw_readings""", "raw_readings"),
+               'block_' || (meter_id % 5) || '.csv' AS source_file FROM raw_readings""", "raw_readings"),
     "medallion_roundtrip": _sql("""
         SELECT day, count(DISTINCT meter_id) AS n_meters, round(sum(kwh), 4) AS total_kwh
         FROM lake_readings GROUP BY day""", "lake_readings"),
@@ -212,6 +233,18 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'gold', 'load_profile', (SELECT count(DISTINCT hour(read_at) * 2 + minute(read_at) // 30)
             FROM clean_readings)
         UNION ALL SELECT 'gold', 'segments', (SELECT count(DISTINCT meter_id) FROM lake_readings)""", "lake_readings", "stamps", "households", "holidays"),
+    "forecast_audit": _sql("""
+        SELECT 'gold' AS layer, 'daily_totals' AS table_name, (SELECT count(*) FROM totals) AS row_count
+        UNION ALL SELECT 'gold', 'forecast', (SELECT count(*) - CAST(floor(0.75 * count(*)) AS BIGINT) FROM days)
+        UNION ALL SELECT 'gold', 'forecast_metrics', 1
+        UNION ALL SELECT 'gold', 'forecast_features', 6""", "totals", "days"),
+    "views_demand": _sql("""
+        SELECT day, season, is_weekend, is_holiday, count(*) AS active_homes, temp_avg, round(sum(daily_kwh), 4) AS kwh
+        FROM lake_fact GROUP BY day, season, is_weekend, is_holiday, temp_avg ORDER BY day""", "lake_fact"),
+    "views_customers": _sql("""
+        SELECT group_name, tariff, count(DISTINCT meter_id) AS households, count(*) AS home_days,
+               round(sum(daily_kwh), 4) AS kwh
+        FROM lake_fact GROUP BY group_name, tariff""", "lake_fact"),
     "silver_readings": _sql("""
         SELECT meter_id, read_at, CAST(read_at AS DATE) AS day, CAST(hour(read_at) AS INTEGER) AS hour,
                CAST(hour(read_at) * 2 + CASE WHEN minute(read_at) >= 30 THEN 1 ELSE 0 END AS INTEGER) AS half_hour,
@@ -314,6 +347,29 @@ ORACLES: dict[str, str] = {
         *[_domain("daily_totals", "totals", name, rule) for name, rule in _FLAGS.items()],
         _domain("load_profile", "load", "half_hour", "half_hour BETWEEN 0 AND 47"),
     ]), "clean_readings", "totals", "load"),
+    "contract_lake": _sql(" UNION ALL ".join([
+        *[f"SELECT 'schema' AS \"check\", '{name}' AS table_name, {n} AS violations" for name, n in _SCHEMAS.items()],
+        _pk("silver.readings", "clean_readings", "meter_id, read_at"),
+        _pk("silver.daily", "lake_daily", "meter_id, day"),
+        _pk("silver.households", "households", "meter_id"),
+        _pk("silver.weather", "lake_weather", "day"),
+        _pk("silver.holidays", "lake_holidays", "day"),
+        _pk("gold.household_day", "lake_fact", "meter_id, day"),
+        _pk("gold.daily_totals", "(SELECT DISTINCT day, season, temp_avg FROM lake_fact)", "day"),
+        _pk("gold.group_profile", "(SELECT DISTINCT group_name, tariff FROM lake_fact)", "group_name, tariff"),
+        _pk("gold.load_profile", f"(SELECT DISTINCT half_hour FROM {_SLOT_COLUMNS})", "half_hour"),
+        _pk("gold.segments", "(SELECT DISTINCT meter_id FROM lake_daily)", "meter_id"),
+        _domain("silver.readings", _SLOT_COLUMNS, "hour", "hour BETWEEN 0 AND 23"),
+        _domain("silver.readings", _SLOT_COLUMNS, "half_hour", "half_hour BETWEEN 0 AND 47"),
+        _domain("silver.households", "households", "tariff", "tariff IN ('Standard', 'Time-of-Use')"),
+        _domain("gold.household_day", "lake_fact", "month", "month(day) BETWEEN 1 AND 12"),
+        _domain("gold.household_day", "lake_fact", "day_of_week", "dayofweek(day) + 1 BETWEEN 1 AND 7"),
+        *[_domain(f"gold.{table}", "lake_fact", name, rule) for table in ("household_day", "daily_totals") for name, rule in _FLAGS.items()],
+        _domain("gold.load_profile", _SLOT_COLUMNS, "half_hour", "half_hour BETWEEN 0 AND 47"),
+        _fk("household_day -> households", "lake_daily", "households", "meter_id"),
+        _fk("household_day -> weather", "lake_daily", "lake_weather", "day"),
+        _fk("segments -> households", "(SELECT DISTINCT meter_id FROM lake_daily)", "households", "meter_id"),
+    ]), "clean_readings", "lake_fact"),
     "ml_load_shape": _sql(
         "SELECT meter_id, " + ", ".join(f"round(hh_{i}, 6) AS hh_{i}" for i in SLOTS) + " FROM shape", "shape"),
     "ml_load_shape_l1": _sql(

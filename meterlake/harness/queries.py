@@ -38,7 +38,7 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("LCLid").alias("meter_id"),
         F.col("tstp").alias("read_at_text"),
         F.col("energy_kWh_hh").alias("kwh_text"),
-        F.element_at(F.split("_source_file", "/"), -2).alias("source_folder"),
+        F.regexp_extract("_source_file", "/halfhourly/name=([^/]+)/", 1).alias("source_file"),
     )
 
 
@@ -61,6 +61,46 @@ def layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter(F.col("run_id") == lake.run_id).select("layer", "table_name", "row_count")
 
 
+#: Tiles as SQL over the views of a saved lake.
+VIEW_DEMAND = """
+    SELECT t.day, t.season, t.is_weekend, t.is_holiday, t.active_homes, t.temp_avg, f.kwh
+    FROM daily_totals t
+    JOIN (SELECT day, round(sum(daily_kwh), 4) AS kwh FROM household_day GROUP BY day) f ON t.day = f.day
+    ORDER BY t.day"""
+VIEW_CUSTOMERS = """
+    SELECT p.group_name, p.tariff, p.households, f.home_days, f.kwh
+    FROM group_profile p
+    JOIN (SELECT h.group_name, h.tariff, count(*) AS home_days, round(sum(h.daily_kwh), 4) AS kwh
+          FROM household_day h JOIN segments s ON h.meter_id = s.meter_id
+          GROUP BY h.group_name, h.tariff) f
+      ON p.group_name <=> f.group_name AND p.tariff <=> f.tariff"""
+
+
+def views_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _built_lake(spark, sf_dir).register_views()
+    return spark.sql(VIEW_DEMAND)
+
+
+def views_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts only what has one segment per meter, so it differs where a meter has none or two."""
+    _built_lake(spark, sf_dir).register_views()
+    return spark.sql(VIEW_CUSTOMERS)
+
+
+def contract_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks on a saved lake, whose weather file lacks a column."""
+    return quality.check(_built_lake(spark, sf_dir))
+
+
+def forecast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the forecast step saves, from saved day totals."""
+    lake = Lake(spark, inputs.new_lake(spark))
+    lake.create_schemas()
+    lake.save(gold_daily_totals(spark, sf_dir), t.GOLD_DAILY_TOTALS)
+    pipeline.build_forecast(lake)
+    return lake.write_audit().select("layer", "table_name", "row_count")
+
+
 # silver
 
 
@@ -374,7 +414,7 @@ def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        csv_ingest, medallion_roundtrip, layer_audit,
+        csv_ingest, medallion_roundtrip, layer_audit, forecast_audit, views_demand, views_customers,
         silver_readings, dedup_by_key, silver_daily, silver_households, silver_weather, silver_holidays,
         dedup_households, dedup_weather_stamps,
         gold_fact, gold_daily_totals, gold_daily_totals_from_fact, gold_group_profile, gold_load_profile,
@@ -382,7 +422,7 @@ QUERIES: dict[str, Query] = {
         tile_5_demand_vs_temp, tile_6_season_effects, tile_7_load_curve, tile_8_segments, tile_9_top_households,
         insight_2_group, insight_2_detail, insight_4_scatter, insight_4_correlation, segment_consumption,
         finding_peak_slots, finding_category_gap, finding_tariff_gap, finding_season_gap,
-        contract_pk, contract_fk, contract_domain,
+        contract_pk, contract_fk, contract_domain, contract_lake,
         ml_load_shape, ml_load_shape_l1, ml_silhouette_sweep, ml_segments, ml_segment_curves,
         ml_segments_cover_meters, ml_segment_sizes_sum, ml_segment_curves_mean, ml_segment_totals,
         ml_forecast_held_out, ml_forecast_baseline, ml_forecast_features, ml_time_split, ml_forecast, ml_forecast_metrics, ml_feature_importance,

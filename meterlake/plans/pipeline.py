@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from meterlake import tables as t
 from meterlake.concurrency import together
-from meterlake.plans import gold, segments, silver
+from meterlake.plans import forecast, gold, segments, silver
 from meterlake.sources.lake import Lake
 
 
@@ -75,8 +75,16 @@ def build_segments(lake: Lake) -> None:
     lake.save(segments.segment_meters(lake.read(t.SILVER_READINGS)), t.GOLD_SEGMENTS)
 
 
+def build_forecast(lake: Lake, trees: int = forecast.TREES) -> None:
+    """One fit on the saved day totals: predictions, errors and weights. It needs weather for days on both sides of the split."""
+    fitted = forecast.fit_forecast(forecast.features(lake.read(t.GOLD_DAILY_TOTALS)), trees)
+    predicted = lake.save(fitted.predictions, t.GOLD_FORECAST)
+    lake.save(forecast.metrics(predicted), t.GOLD_FORECAST_METRICS)
+    lake.save(forecast.importances(fitted), t.GOLD_FORECAST_FEATURES)
+
+
 def run(lake: Lake) -> None:
-    """Sources to gold tables, then the audit of the run."""
+    """Sources to gold tables without the forecast, then the audit of the run."""
     land_sources(lake)
     build_silver(lake)
     build_gold(lake)

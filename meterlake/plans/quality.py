@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.tables import Table
+from meterlake.sources.lake import Lake
+from meterlake.tables import REFERENCES, Table
 
 
 def _report(counted: DataFrame, check: str, table_name: str) -> DataFrame:
@@ -61,3 +63,28 @@ def schema_differences(rows: DataFrame, table: Table) -> list[str]:
         if name in found and found[name] != declared[name]
     ]
     return problems
+
+
+def check(lake: Lake) -> DataFrame:
+    """Every check the data dictionary declares, on the saved tables of a lake.
+
+    Keys, domains and columns of each table, and references between tables that are both there.
+    Bronze may have more columns than declared, so only missing ones count there.
+    """
+    saved = lake.saved()
+    parts, wrong_schemas = [], []
+    for table in saved:
+        rows, name = lake.read(table), f"{table.layer}.{table.name}"
+        problems = schema_differences(rows, table)
+        if table.layer == "bronze":
+            problems = [p for p in problems if p.endswith("is missing")]
+        wrong_schemas.append(("schema", name, len(problems)))
+        if table.key:
+            parts.append(duplicate_keys(rows, table.key, name))
+        if table.domains:
+            parts.append(outside_domains(rows, table.domains, name))
+    for child, parent, key in REFERENCES:
+        if child in saved and parent in saved:
+            parts.append(orphans(lake.read(child), lake.read(parent), key, f"{child.name} -> {parent.name}"))
+    schemas = lake.spark.createDataFrame(wrong_schemas, "check string, table_name string, violations long")
+    return reduce(DataFrame.unionByName, parts, schemas)

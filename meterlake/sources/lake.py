@@ -53,16 +53,19 @@ class Lake:
         """Overwrite a table and return a scan of it; its rows are counted by the write itself.
 
         Silver and gold rows are brought to the declared columns and types, and fail if they
-        cannot be. Bronze keeps whatever the file had.
+        cannot be. Bronze keeps whatever the file had; declared columns it lacks are named in the audit.
         """
+        status = "saved"
         if table.layer != "bronze":
             rows = rows.to(table.schema)
+        elif absent := [c.name for c in table.columns if c.name not in rows.columns]:
+            status = f"saved without {', '.join(absent)}"
         observed = Observation(f"{table.layer}.{table.name}")
         counted = rows.observe(observed, F.count(F.lit(1)).alias("row_count"))
         self._write(counted, table.layer, table.name, "overwrite")
         name = self.config.table(table.layer, table.name)
         self.spark.sql(f"COMMENT ON TABLE {name} IS '{table.comment}'")
-        self._note(table, "saved", observed.get["row_count"], len(rows.columns))
+        self._note(table, status, observed.get["row_count"], len(rows.columns))
         return self.read(table)
 
     def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
@@ -90,14 +93,18 @@ class Lake:
         listed = self.spark.catalog.listTables(self.config.schema(layer))
         return sorted(t.name for t in listed if not t.isTemporary)
 
+    def saved(self) -> list[Table]:
+        """The declared tables that are there."""
+        present = {layer: set(self.tables(layer)) for layer in LAYERS}
+        return [table for table in TABLES if table.name in present[table.layer]]
+
     def preview(self, table: Table, rows: int = 5) -> DataFrame:
         return self.read(table).limit(rows)
 
     def register_views(self, layer: str = "gold") -> None:
         """Name every saved table of a layer as a temporary view, for SQL over short names."""
-        present = set(self.tables(layer))
-        for table in TABLES:
-            if table.layer == layer and table.name in present:
+        for table in self.saved():
+            if table.layer == layer:
                 self.read(table).createOrReplaceTempView(table.name)
 
     def _note(self, table: Table, status: str, rows: int | None, columns: int | None) -> None:

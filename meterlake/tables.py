@@ -223,11 +223,30 @@ GOLD_SEGMENTS = Table(
     (METER, Column("segment", INT, "0..k-1, by time of the peak")),
     key=("meter_id",),
 )
+GOLD_FORECAST = Table(
+    "gold", "forecast", "Predicted demand of the held-out days",
+    (
+        DAY,
+        Column("actual", DOUBLE, "mean kWh of an active home"),
+        Column("prediction", DOUBLE, "the same as predicted"),
+    ),
+    key=("day",),
+)
+GOLD_FORECAST_METRICS = Table(
+    "gold", "forecast_metrics", "Errors of the forecast over the held-out days",
+    (Column("rmse", DOUBLE), Column("mae", DOUBLE), Column("r2", DOUBLE, "null where all actual values are equal")),
+)
+GOLD_FORECAST_FEATURES = Table(
+    "gold", "forecast_features", "Weight of each feature in the forecast",
+    (Column("feature", STRING), Column("importance", DOUBLE, "adds up to 1")),
+    key=("feature",),
+)
 
 TABLES = (
     BRONZE_READINGS, BRONZE_HOUSEHOLDS, BRONZE_HOLIDAYS, BRONZE_WEATHER,
     SILVER_READINGS, SILVER_DAILY, SILVER_HOUSEHOLDS, SILVER_WEATHER, SILVER_HOLIDAYS,
     GOLD_FACT, GOLD_DAILY_TOTALS, GOLD_GROUP_PROFILE, GOLD_LOAD_PROFILE, GOLD_SEGMENTS,
+    GOLD_FORECAST, GOLD_FORECAST_METRICS, GOLD_FORECAST_FEATURES,
 )
 
 # (child, parent, shared key); a bank holiday is optional and therefore no reference.

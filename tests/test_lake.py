@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 
 from meterlake import tables as t
 from meterlake.config import LakeConfig, object_store_root, volume_root
-from meterlake.plans import pipeline
+from meterlake.plans import pipeline, quality
 from meterlake.plans.quality import schema_differences
 from meterlake.sources.csv_files import read_csv, with_lineage
 from meterlake.sources.lake import Lake
@@ -101,8 +101,9 @@ def test_sources_to_gold(lake):
     assert lake.read(t.GOLD_LOAD_PROFILE).count() == 4
 
     # what is saved is what the dictionary says
-    for table in t.TABLES:
-        if table.layer != "bronze" and table != t.GOLD_SEGMENTS:
+    assert len(lake.saved()) == 14
+    for table in lake.saved():
+        if table.layer != "bronze":
             assert schema_differences(lake.read(table), table) == []
     comments = {f.name: f.metadata.get("comment") for f in fact.schema.fields}
     assert comments["daily_kwh"] == "kWh of the day"
@@ -145,7 +146,7 @@ def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):
 
 def test_declared_tables_can_be_created_first(spark, lake):
     lake.create_tables()
-    assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 14
+    assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 17
     for table in t.TABLES:
         empty = lake.read(table)
         assert schema_differences(empty, table) == []
@@ -205,3 +206,43 @@ def test_scratch_tables_lie_in_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
     assert all(folder in path for path in saved.inputFiles())
+
+
+def test_checks_find_what_is_broken(lake):
+    pipeline.run(lake)
+    counted = {(r["check"], r.table_name): r.violations for r in quality.check(lake).collect()}
+    assert {k: v for k, v in counted.items() if v} == {
+        ("foreign_key", "household_day -> households"): 1, ("foreign_key", "segments -> households"): 1,
+    }
+    assert ("schema", "gold.segments") in counted and ("primary_key", "silver.readings") in counted
+    assert not any("forecast" in name for _, name in counted)
+
+    loads = lake.read(t.GOLD_LOAD_PROFILE)
+    broken = materialize(loads.unionAll(loads.limit(1)).selectExpr("half_hour + 24 AS half_hour", "clock_time", "avg_kwh"), "broken")
+    lake.save(broken, t.GOLD_LOAD_PROFILE)
+    counted = {(r["check"], r.table_name): r.violations for r in quality.check(lake).collect()}
+    assert counted["primary_key", "gold.load_profile"] == 1
+    assert counted["domain:half_hour", "gold.load_profile"] == broken.filter("half_hour > 47").count() > 0
+
+
+def test_absent_weather_columns_are_on_record(spark, lake, tmp_path):
+    file = tmp_path / "source" / "landing" / "weather" / "weather_daily_darksky.csv"
+    file.write_text("time,temperatureMin,humidity\n2013-01-01 00:00:00,2,0.9\n")
+    pipeline.run(lake)
+    counted = {(r["check"], r.table_name): r.violations for r in quality.check(lake).collect()}
+    assert counted["schema", "bronze.weather"] == 7
+    audit = spark.table(lake.config.table("gold", "audit"))
+    assert audit.filter("layer = 'bronze' AND table_name = 'weather'").first().status.startswith("saved without temperatureMax, windSpeed")
+
+
+def test_forecast_is_saved(spark, lake):
+    lake.create_schemas()
+    days = spark.range(40).selectExpr(
+        "date_add(DATE'2013-01-01', CAST(id AS INT)) AS day", "'Winter' AS season", "0 AS is_weekend", "0 AS is_holiday",
+        "10D AS total_kwh", "10 - id / 10 AS avg_kwh_per_home", "5L AS active_homes", "CAST(id AS DOUBLE) AS temp_avg",
+    )
+    lake.save(days, t.GOLD_DAILY_TOTALS)
+    pipeline.build_forecast(lake, trees=3)
+    assert lake.read(t.GOLD_FORECAST).count() == 10
+    assert lake.read(t.GOLD_FORECAST_METRICS).first().rmse > 0
+    assert sum(r.importance for r in lake.read(t.GOLD_FORECAST_FEATURES).collect()) == pytest.approx(1)

@@ -37,8 +37,8 @@ def test_schema_differences(spark):
 
 
 def test_dictionary_is_consistent():
-    assert len(t.TABLES) == 14
-    assert len({(x.layer, x.name) for x in t.TABLES}) == 14
+    assert len(t.TABLES) == 17
+    assert len({(x.layer, x.name) for x in t.TABLES}) == 17
     for table in t.TABLES:
         names = {c.name for c in table.columns}
         assert len(names) == len(table.columns)

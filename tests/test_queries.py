@@ -35,6 +35,15 @@ def test_models_return_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_views_of_a_lake_have_weather(spark, sf_dir):
+    days = QUERIES["views_demand"](spark, sf_dir)
+    assert days.filter("temp_avg IS NOT NULL").count() > 0
+
+
+def test_readings_come_from_several_files(spark, sf_dir):
+    assert QUERIES["csv_ingest"](spark, sf_dir).select("source_file").distinct().count() == 5
+
+
 def test_entry(spark):
     frame = entry(spark)
     assert frame.count() > 0
