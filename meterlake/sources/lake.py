@@ -11,8 +11,11 @@ from pyspark.sql.types import StructType
 
 from meterlake.config import LAYERS, LakeConfig
 from meterlake.sources.csv_files import read_csv, read_csv_if_present, with_lineage
+from meterlake.sources.scratch import remove_folder
 from meterlake.tables import TABLES, Table
 
+_VERSION = "version-"
+
 AUDIT_COLUMNS = (
     "run_id string, layer string, table_name string, status string, "
     "row_count long, column_count int, finished_at timestamp"
@@ -62,20 +65,38 @@ class Lake:
             status = f"saved without {', '.join(absent)}"
         observed = Observation(f"{table.layer}.{table.name}")
         counted = rows.observe(observed, F.count(F.lit(1)).alias("row_count"))
-        self._write(counted, table.layer, table.name, "overwrite")
+        self._replace(counted, table)
         name = self.config.table(table.layer, table.name)
         self.spark.sql(f"COMMENT ON TABLE {name} IS '{table.comment}'")
         self._note(table, status, observed.get["row_count"], len(rows.columns))
         return self.read(table)
 
-    def _write(self, rows: DataFrame, layer: str, name: str, mode: str) -> None:
-        writer = rows.write.format(self.config.table_format).mode(mode)
-        if self.config.table_format == "delta" and mode == "overwrite":
-            writer = writer.option("overwriteSchema", "true")
-        if path := self.config.location(layer, name):
-            # also takes over files of a table that a new catalog does not know yet
-            writer = writer.option("path", path)
-        writer.saveAsTable(self.config.table(layer, name))
+    def _replace(self, rows: DataFrame, table: Table) -> None:
+        """Write the rows beside the table and switch its name to them, so a failed write leaves the old table as it was.
+
+        Tables under ``table_root`` get a folder for each version; the one that is replaced goes after the switch.
+        """
+        name, path = self.config.table(table.layer, table.name), self.config.location(table.layer, table.name)
+        if self.config.table_format == "delta":
+            writer = rows.write.format("delta").mode("overwrite").option("overwriteSchema", "true")
+            (writer.option("path", path) if path else writer).saveAsTable(name)
+            return
+        version = uuid.uuid4().hex
+        written = f"{name}_{version}"
+        writer = rows.write.format(self.config.table_format)
+        (writer.option("path", f"{path}/{_VERSION}{version}") if path else writer).saveAsTable(written)
+        replaced = self._version_folder(name) if path else None
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"ALTER TABLE {written} RENAME TO {name}")
+        if replaced:
+            remove_folder(self.spark, replaced)
+
+    def _version_folder(self, name: str) -> str | None:
+        """Where a table lies, if that is a folder a save has made."""
+        if not self.spark.catalog.tableExists(name):
+            return None
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+        return described.data_type if described and described.data_type.rsplit("/", 1)[-1].startswith(_VERSION) else None
 
     def ingest(
         self, source: str, table: Table, schema: StructType | None = None, optional: bool = False, **options
@@ -114,6 +135,10 @@ class Lake:
     def write_audit(self) -> DataFrame:
         """Append what this run saved and skipped to the audit table, once per run."""
         notes = self.spark.createDataFrame(self._audit, AUDIT_COLUMNS).coalesce(1)
-        self._write(notes, "gold", "audit", "append")
+        writer = notes.write.format(self.config.table_format).mode("append")
+        if path := self.config.location("gold", "audit"):
+            # also takes over files of a table that a new catalog does not know yet
+            writer = writer.option("path", path)
+        writer.saveAsTable(self.config.table("gold", "audit"))
         self._audit = []
         return self.spark.table(self.config.table("gold", "audit"))

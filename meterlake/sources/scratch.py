@@ -45,6 +45,12 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can reach."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative MLlib fits cut their lineage only when a checkpoint folder is set."""
     if spark.sparkContext.getCheckpointDir() is None:

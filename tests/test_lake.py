@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
 
 import pytest
 from conftest import rows
@@ -144,6 +145,35 @@ def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):
     assert rows(saved) == [(0, "00:00", 1.0)]
 
 
+def test_a_failed_save_leaves_the_old_table(spark, lake):
+    lake.create_schemas()
+    first = spark.createDataFrame([(0, "00:00", 1.0), (1, "00:30", 2.0)], "half_hour int, clock_time string, avg_kwh double")
+    lake.save(first, t.GOLD_LOAD_PROFILE)
+    broken = first.selectExpr("half_hour", "clock_time", "IF(half_hour = 1, raise_error('lost'), avg_kwh) AS avg_kwh")
+    with pytest.raises(Exception, match="lost"):
+        lake.save(broken, t.GOLD_LOAD_PROFILE)
+    assert rows(lake.read(t.GOLD_LOAD_PROFILE)) == rows(first)
+
+
+def test_a_table_can_be_made_from_itself_and_leaves_one_version(spark, lake):
+    lake.create_schemas()
+    first = spark.createDataFrame([(0, "00:00", 1.0), (1, "00:30", 2.0)], "half_hour int, clock_time string, avg_kwh double")
+    lake.save(first, t.GOLD_LOAD_PROFILE)
+    saved = lake.save(lake.read(t.GOLD_LOAD_PROFILE).filter("half_hour = 1"), t.GOLD_LOAD_PROFILE)
+    assert rows(saved) == [(1, "00:30", 2.0)]
+    assert len(list(pathlib.Path(lake.config.location("gold", "load_profile")).iterdir())) == 1
+    assert lake.tables("gold") == ["load_profile"]
+
+
+def test_tables_of_the_warehouse_are_replaced_too(spark, tmp_path):
+    lake = Lake(spark, LakeConfig(str(tmp_path), namespace=f"w{abs(hash(str(tmp_path)))}"))
+    lake.create_schemas()
+    first = spark.createDataFrame([(0, "00:00", 1.0)], "half_hour int, clock_time string, avg_kwh double")
+    lake.save(first, t.GOLD_LOAD_PROFILE)
+    assert rows(lake.save(first.selectExpr("half_hour + 1 AS half_hour", "clock_time", "avg_kwh"), t.GOLD_LOAD_PROFILE)) == [(1, "00:00", 1.0)]
+    assert lake.tables("gold") == ["load_profile"]
+
+
 def test_declared_tables_can_be_created_first(spark, lake):
     lake.create_tables()
     assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 17
