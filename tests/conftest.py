@@ -27,9 +27,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.environ.get("METERLAKE_TEST_DATA", "/root/testdata/sf0.001")
-
-
-def rows(frame, *columns):
-    """Rows of a frame as sorted tuples."""
-    chosen = frame.select(*columns) if columns else frame
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

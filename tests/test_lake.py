@@ -6,7 +6,7 @@ import datetime
 import pathlib
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.errors import AnalysisException
 
 from meterlake import tables as t

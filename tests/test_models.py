@@ -6,7 +6,7 @@ import datetime
 import math
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 

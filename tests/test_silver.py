@@ -6,7 +6,7 @@ import datetime
 import statistics
 from collections import defaultdict
 
-from conftest import rows
+from frames import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

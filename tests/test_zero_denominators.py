@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from frames import rows
 
 from meterlake.plans import dashboard, findings, forecast, silver
 
