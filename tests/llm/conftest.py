@@ -5,17 +5,9 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.append(os.path.dirname(os.path.abspath(__file__)))
 
-WORDS = "alpha beta gamma delta épsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
-
-
-def prose(seed: int, n: int) -> str:
-    """n words, the same for the same seed."""
-    import random
-
-    r = random.Random(seed)
-    return " ".join(r.choice(WORDS) + str(r.randrange(30)) for _ in range(n))
+from texts import prose  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -45,7 +37,3 @@ def odd_docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string")
-
-
-def pairs(docs):
-    return sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())

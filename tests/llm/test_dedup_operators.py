@@ -5,7 +5,7 @@ from __future__ import annotations
 import brute
 import numpy as np
 import pytest
-from conftest import pairs, prose
+from texts import pairs, prose
 from pyspark.sql import functions as F
 
 from meterlake.llm import filters, lines, queries, simhash, substrings
