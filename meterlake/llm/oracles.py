@@ -114,10 +114,72 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM summed GROUP BY conv_id
 """
 
+#: The draws are the first four groups of eight hexadecimal digits; list slices are from 1 and include their ends.
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us FROM documents),
+drawn AS (
+    SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (len(us) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(us) + 1) AS b,
+        ('0x' || substr(h, 17, 8))::BIGINT % 100 AS c, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS d FROM units),
+formed AS (
+    SELECT *, CASE WHEN text = '' OR c >= 50 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+        WHEN d < 80 THEN 'spm' ELSE 'psm' END AS form,
+        coalesce(array_to_string(us[1:least(a, b)], ''), '') AS prefix,
+        coalesce(array_to_string(us[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+        coalesce(array_to_string(us[greatest(a, b) + 1:], ''), '') AS suffix FROM drawn)
+SELECT doc_id, len(us)::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM formed
+"""
+
+_TERM_LIST = f"regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+def _probability(n: str, total: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({n} + 5)) // ({total} + 5 * terms)"
+
+
+DIVERGENCE = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERM_LIST} AS ts FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+placed AS (SELECT doc, lang, source, unnest(ts) AS term FROM docs),
+kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS total FROM placed GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+counted AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM placed SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+languages AS (SELECT lang, count(*)::HUGEINT AS terms, sum(total)::HUGEINT AS lang_n FROM kept GROUP BY lang),
+sizes AS (
+    SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS group_n
+    FROM groups g LEFT JOIN counted c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+priced AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, {_probability("coalesce(c.n, 0)", "group_n")} AS p, {_probability("total", "lang_n")} AS q
+    FROM sizes s JOIN kept k ON s.lang = k.lang JOIN languages l ON s.lang = l.lang
+    LEFT JOIN counted c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+higher AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM higher))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLES = {
     "op3_substring_dedup": SUBSTRINGS,
     "op5_line_dedup": LINES,
     "op6_quality_rules": QUALITY,
     "op7_decontamination": DECONTAMINATION,
     "op10_chat_formatting": CHAT,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_source_divergence": DIVERGENCE,
 }

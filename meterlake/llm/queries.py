@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, decontaminate, langid, lines, lm, quality, simhash, substrings, suffixes
+from meterlake.llm import bpe, chat, decontaminate, divergence, infill, langid, lines, lm, quality, simhash, substrings, suffixes
 from meterlake.llm.text import LAST_ID
 from meterlake.llm.tokenizers import tokenizer_file
 
@@ -96,10 +96,22 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.training_examples(given.unionByName(extra)))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.restore(infill.fill_in_middle(documents(spark, sf_dir), seed=42, cut_share=50, spm_share=80))
+    return found.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir), min_docs=30, top_terms=50)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_bpe_roundtrip, op2_suffix_array_dedup, op3_substring_dedup, op4_lm_scoring, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
-        op9_simhash_near_dedup, op10_chat_formatting,
+        op9_simhash_near_dedup, op10_chat_formatting, op12_fill_in_middle, op13_source_divergence,
     )
 }

@@ -83,12 +83,12 @@ def chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES, column: str = "text"
         yield batch.slice(low), texts[low:]
 
 
-def per_chunk(kernel: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch], limit: int = CHUNK_BYTES):
+def per_chunk(kernel: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch], limit: int = CHUNK_BYTES, column: str = "text"):
     """A ``mapInArrow`` function that runs the kernel on each chunk."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in chunks(batch, limit):
+            for part, texts in chunks(batch, limit, column):
                 yield kernel(part, texts)
 
     return run

@@ -146,3 +146,53 @@ def base_scores(docs, held_out):
     total = sum(counts.values())
     for i, ws in tokens.items():
         yield i, len(ws), sum(counts[w] > 0 for w in ws), total, sum(log10((counts[w] + 0.5) / (total + 0.5 * (len(counts) + 1))) for w in ws)
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(docs):
+    for i, t in docs:
+        t = t or ""
+        units = UNIT.findall(t)
+        digest = sha(f"42:{'' if i is None else i}")
+        a, b, c, d = (int(digest[k : k + 8], 16) for k in range(0, 32, 8))
+        low, high = sorted((a % (len(units) + 1), b % (len(units) + 1)))
+        prefix, middle, suffix = "".join(units[:low]), "".join(units[low:high]), "".join(units[high:])
+        if not t or any(s in t for s in ("<P>", "<S>", "<M>")) or c % 100 >= 50:
+            yield i, len(units), "plain", None, None, sha(t), sha(t)
+        elif d % 100 < 80:
+            yield i, len(units), "spm", len(prefix), len(middle), sha(f"<S>{suffix}<P>{prefix}<M>{middle}"), sha(t)
+        else:
+            yield i, len(units), "psm", len(prefix), len(middle), sha(f"<P>{prefix}<S>{suffix}<M>{middle}"), sha(t)
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, min_docs=30, top=50):
+    """docs: (text, lang, source)."""
+    docs = [(TERM.findall((t or "").translate(UPPER)), lang or "", source or "") for t, lang, source in docs]
+    for lang in sorted({d[1] for d in docs}):
+        held, counts, whole = Counter(), defaultdict(Counter), Counter()
+        for terms, own, source in docs:
+            if own == lang:
+                held.update(set(terms))
+                counts[source].update(terms)
+                whole.update(terms)
+        kept = [t for t, n in held.items() if n >= min_docs]
+
+        def p(c):
+            total = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 5) // (total + 5 * len(kept)) for t in kept}
+
+        shares, q = {s: p(c) for s, c in counts.items()}, p(whole)
+        for source, mine in shares.items():
+            found = {
+                "pair": [(sum(abs(mine[t] - theirs[t]) for t in kept), other) for other, theirs in shares.items() if other != source],
+                "term": [(mine[t] - q[t], t) for t in kept if counts[source][t] and mine[t] > q[t]],
+            }
+            for part, values in found.items():
+                values.sort(key=lambda v: (-v[0], v[1].encode()))
+                for rank, (value, item) in enumerate(values if part == "pair" else values[:top], 1):
+                    yield lang, source, part, item, value, rank

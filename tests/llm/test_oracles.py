@@ -24,4 +24,4 @@ def test_registered():
     from __spark_entry__ import oracle_sql, queries
 
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert len({name.split("_")[0] for name in QUERIES}) == 10
+    assert len({name.split("_")[0] for name in QUERIES}) == 13
