@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, decontaminate, divergence, infill, langid, lines, lm, quality, simhash, substrings, suffixes
+from meterlake.llm import bpe, chat, decontaminate, divergence, extraction, infill, langid, lines, lm, quality, simhash, substrings, suffixes
 from meterlake.llm.text import LAST_ID
 from meterlake.llm.tokenizers import tokenizer_file
 
@@ -96,6 +96,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.training_examples(given.unionByName(extra)))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"), carry=True)
+    return found.select(F.col("id").alias("page_id"), F.col("row.url").alias("url"), "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = infill.restore(infill.fill_in_middle(documents(spark, sf_dir), seed=42, cut_share=50, spm_share=80))
     return found.select(
@@ -112,6 +117,6 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_bpe_roundtrip, op2_suffix_array_dedup, op3_substring_dedup, op4_lm_scoring, op5_line_dedup, op6_quality_rules, op7_decontamination, op8_language_id,
-        op9_simhash_near_dedup, op10_chat_formatting, op12_fill_in_middle, op13_source_divergence,
+        op9_simhash_near_dedup, op10_chat_formatting, op11_html_extraction, op12_fill_in_middle, op13_source_divergence,
     )
 }
