@@ -44,12 +44,12 @@ def fit(features: np.ndarray, target: np.ndarray, *, trees: int, depth: int, rat
         p = 1 / (1 + np.exp(-score))
         slope, bend = target - p, p * (1 - p)
         leaf, questions = np.zeros(n, np.int64), []
+        slopes, bends = np.tile(slope, n_features), np.tile(bend, n_features)
         for level in range(depth):
             size = (1 << level) * n_features * BINS
             codes = (flat + leaf * n_features * BINS).ravel()
-            g, h = (
-                np.bincount(codes, np.tile(w, n_features), size).reshape(1 << level, n_features, BINS).cumsum(axis=2) for w in (slope, bend)
-            )
+            both = np.bincount(codes, slopes, size), np.bincount(codes, bends, size)
+            g, h = (w.reshape(1 << level, n_features, BINS).cumsum(axis=2) for w in both)
             right_g, right_h = g[:, :, -1:] - g, h[:, :, -1:] - h
             gain = (g**2 / (h + ridge) + right_g**2 / (right_h + ridge)).sum(axis=0)
             feature, edge = divmod(int(gain.argmax()), BINS)

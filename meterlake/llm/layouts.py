@@ -7,6 +7,7 @@ whether elements are closed. Everything follows from the seed.
 
 from __future__ import annotations
 
+import functools
 import random
 from collections.abc import Iterator
 
@@ -37,6 +38,13 @@ PLAIN_NAMES = "container wrapper row col col-8 inner outer box css-1x2 grid flex
 SYLLABLES = "an er in th on ti es en re nd ha ou ing le la de que ment der sch ein ung ich aux ción ado ár é ü ä 日 本 сло во ма".split()
 
 
+@functools.cache
+def _words() -> list[str]:
+    """Invented words, some with a comma or a character reference behind them."""
+    r = random.Random(1)
+    return ["".join(r.choices(SYLLABLES, k=r.choice((1, 1, 2, 2, 3, 4)))) + r.choice(("", "", "", "", "", ",", " &amp;")) for _ in range(4000)]
+
+
 class _Writer:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
@@ -48,8 +56,7 @@ class _Writer:
         return self.r.random() < share
 
     def words(self, n: int) -> str:
-        r = self.r
-        return " ".join("".join(r.choices(SYLLABLES, k=r.choice((1, 1, 2, 2, 3, 4)))) + r.choice(("", "", "", "", "", ",", " &amp;")) for _ in range(n))
+        return " ".join(self.r.choices(_words(), k=n))
 
     def sentences(self, n: int) -> str:
         return " ".join(self.words(self.r.choice((1, 2, 5, 9, 14, 22))).capitalize() + self.r.choice("...?!") for _ in range(n))

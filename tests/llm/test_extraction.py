@@ -50,7 +50,7 @@ def shape(page: str):
         ("<div>a<button>b<p>c</div>", [["div", "ab", ["p", "c"]]]),
         ("<td>a</div>b</td>", [["td", "ab"]]),
         ("<div><table><tr><td>a</div>b</table>c</div>d", [["div", ["table", ["tr", ["td", "ab"]]], "c"], "d"]),
-        ("<p class=\"x", []),
+        ("<p class=\"x", [["p"]]),
     ],
 )
 def test_trees(page, expected):
@@ -195,14 +195,14 @@ def test_hand_made_pages(name):
 
 
 def test_odd_rows(spark):
-    long = "<article>" + "".join(f"<p>{prose(k, 300)}</p>" for k in range(900)) + "</article>"
+    long = "<article>" + "".join(f"<p>{prose(k, 300)}</p>" for k in range(1100)) + "</article>"
     assert len(long) > 2 * extraction._CHUNK
     rows = [(1, None, "u", "x"), (2, "", None, "x"), (None, f"<p>{MAIN}", "u", "y"), (3, f"<p>{MAIN}", "u", "y"), (3, f"<p>{MAIN}", "u", "y"), (4, long, "u", "z")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string, id string").coalesce(1)
     found = extraction.extract_text(pages, carry=True).collect()
-    blocks = [prose(k, 300) for k in range(900)]
+    blocks = [prose(k, 300) for k in range(1100)]
     assert sorted((r.id is not None, r.id or 0, r.text, r.n_blocks, r.row.id) for r in found) == sorted(
-        [(True, 1, "", 0, "x"), (True, 2, "", 0, "x"), (False, 0, MAIN, 1, "y"), (True, 3, MAIN, 1, "y"), (True, 3, MAIN, 1, "y"), (True, 4, "\n\n".join(blocks), 900, "z")]
+        [(True, 1, "", 0, "x"), (True, 2, "", 0, "x"), (False, 0, MAIN, 1, "y"), (True, 3, MAIN, 1, "y"), (True, 3, MAIN, 1, "y"), (True, 4, "\n\n".join(blocks), 1100, "z")]
     )
     assert extraction.extract_text(pages.limit(0)).count() == 0
     broken = spark.createDataFrame([(1, b"<p>caf\xe9 " + MAIN.encode())], "page_id long, html binary")
