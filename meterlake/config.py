@@ -30,6 +30,8 @@ class LakeConfig:
 
     ``table_root`` places the tables' files; without it they go to the warehouse of the session.
     ``table_format`` is any installed format: parquet comes with Spark, delta needs its package.
+    Tables by meter have so many ``buckets``, one per 200 MB of the fact or so; a table's last ``kept_versions``
+    replaced versions stay, for readers that began before the switch.
     """
 
     source_root: str
@@ -38,6 +40,8 @@ class LakeConfig:
     catalog: str | None = None
     table_root: str | None = None
     table_format: str = "parquet"
+    buckets: int = 8
+    kept_versions: int = 1
 
     def source_path(self, source: str) -> str:
         parts = [self.source_root.rstrip("/"), self.source_folder.strip("/"), SOURCE_FILES[source]]
@@ -49,6 +53,10 @@ class LakeConfig:
         name = f"{self.namespace}_{layer}"
         return f"{self.catalog}.{name}" if self.catalog else name
 
+    def versions(self, layer: str) -> str:
+        """The schema of the tables behind the names of a layer."""
+        return f"{self.schema(layer)}_versions"
+
     def table(self, layer: str, name: str) -> str:
         return f"{self.schema(layer)}.{name}"
 

@@ -74,6 +74,33 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.col("user_id").alias("LCLid"), F.inline(F.array(reading, copy)))
 
 
+def tied_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose daily sums and means often end in an exact half of the last digit that is kept."""
+    cents = F.col("value").cast("decimal(12,2)").cast("decimal(18,6)")
+    tied = cents + F.when(F.col("event_id") % 2 == 0, F.lit("0.00005").cast("decimal(18,6)")).otherwise(F.lit("0.1").cast("decimal(18,6)"))
+    events = table(spark, sf_dir, "events")
+    return events.select(F.col("user_id").alias("meter_id"), F.to_date("ts").alias("day"), tied.cast("double").alias("kwh"))
+
+
+def write_uneven_readings(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """Reading files of which every 50th row lacks its last field and every 49th has one too many."""
+    config = new_lake(spark)
+    events = table(spark, sf_dir, "events")
+    stamp, number = F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("event_id")
+    fields = (
+        F.when(number % 50 == 0, F.array(F.col("user_id").cast("string"), stamp))
+        .when(number % 49 == 0, F.array(F.col("user_id").cast("string"), stamp, F.lit("1.5"), F.lit("more")))
+        .otherwise(F.array(F.col("user_id").cast("string"), stamp, F.lit("1.5")))
+    )
+    file = F.format_string("block_%d.csv", F.col("user_id") % READING_FILES)
+    lines = events.select(file.alias("name"), F.lit(1).alias("after"), F.array_join(fields, ",").alias("value"))
+    header = lines.select("name").distinct().select("name", F.lit(0).alias("after"), F.lit("LCLid,tstp,energy(kWh/hh)").alias("value"))
+    # a file is one task's, its header in front
+    whole = header.unionByName(lines).repartition("name").sortWithinPartitions("name", "after").select("name", "value")
+    whole.write.partitionBy("name").text(config.source_path("readings").removesuffix("/*.csv"))
+    return config
+
+
 def raw_households(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

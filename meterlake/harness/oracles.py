@@ -14,6 +14,11 @@ def _padded(value: str) -> str:
     return f"' ' || CAST(CAST({value} AS DECIMAL(12,2)) AS VARCHAR) || ' '"
 
 
+def _whole_mean(total: str, n: str, parts: int, digits: int) -> str:
+    """total / parts / n in whole units of the last of so many digits, halves up; of whole numbers, so without any error."""
+    return f"(2 * {total} * {10 ** digits} + {parts} * {n}) // (2 * {parts} * {n})"
+
+
 # Each view names the views it needs.
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_readings": ((), f"""
@@ -137,11 +142,29 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(y.day IS NOT NULL AS INTEGER) AS is_holiday,
                CASE WHEN month(d.day) IN (12, 1, 2) THEN 'Winter'
                     WHEN month(d.day) IN (3, 4, 5) THEN 'Spring'
-                    WHEN month(d.day) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season
+                    WHEN month(d.day) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS season, h.detail_code
         FROM lake_daily d
         LEFT JOIN households h ON d.meter_id = h.meter_id
         LEFT JOIN lake_weather w ON d.day = w.day
         LEFT JOIN lake_holidays y ON d.day = y.day"""),
+    # stored energies as whole numbers of their last digit: cents of a day, 0.1 and 0.001 kWh of a day's totals, 0.001 of a cell
+    "lake_cents": (("lake_fact",), "SELECT *, CAST(round(daily_kwh * 100) AS HUGEINT) AS cents FROM lake_fact"),
+    "lake_totals": (("lake_cents",), f"""
+        SELECT day, season, is_weekend, is_holiday, temp_avg, count(*) AS active_homes,
+               {_whole_mean("sum(cents)", "1", 100, 1)} AS total_tenths, {_whole_mean("sum(cents)", "count(*)", 100, 3)} AS avg_thousandths
+        FROM lake_cents GROUP BY day, season, is_weekend, is_holiday, temp_avg"""),
+    "lake_profile": (("lake_cents",), f"""
+        SELECT group_name, tariff, count(DISTINCT meter_id) AS households, {_whole_mean("sum(cents)", "count(*)", 100, 3)} AS avg_thousandths
+        FROM lake_cents GROUP BY group_name, tariff"""),
+    "lake_load": (("clean_readings",), f"""
+        SELECT half_hour, lpad(CAST(half_hour // 2 AS VARCHAR), 2, '0') || CASE WHEN half_hour % 2 = 1 THEN ':30' ELSE ':00' END AS clock_time,
+               {_whole_mean("sum(cents)", "count(*)", 100, 5)} / 1e5::DOUBLE AS avg_kwh
+        FROM (SELECT CAST(hour(read_at) * 2 + minute(read_at) // 30 AS INTEGER) AS half_hour, CAST(round(kwh * 100) AS HUGEINT) AS cents FROM clean_readings)
+        GROUP BY half_hour"""),
+    "tied": ((), """
+        SELECT user_id AS meter_id, CAST(ts AS DATE) AS day,
+               CAST(CAST(value AS DECIMAL(12,2)) * 100 AS HUGEINT) * 10000 + CASE WHEN event_id % 2 = 0 THEN 50 ELSE 100000 END AS millionths
+        FROM events"""),
 }
 
 
@@ -197,6 +220,7 @@ _SCHEMAS = {
     "bronze.readings": 0, "bronze.households": 0, "bronze.holidays": 0, "bronze.weather": 1,
     "silver.readings": 0, "silver.daily": 0, "silver.households": 0, "silver.weather": 0, "silver.holidays": 0,
     "gold.household_day": 0, "gold.daily_totals": 0, "gold.group_profile": 0, "gold.load_profile": 0, "gold.segments": 0,
+    "silver.meters": 0, "gold.group_homes": 0, "gold.segment_centres": 0,
 }
 _SHAPE_SUM = " + ".join(f"hh_{i}" for i in SLOTS)
 _SHAPE_TOTAL = f"(CASE WHEN {_SHAPE_SUM} = 0 THEN 1 ELSE {_SHAPE_SUM} END)"
@@ -232,7 +256,11 @@ ORACLES: dict[str, str] = {
             FROM lake_readings JOIN households USING (meter_id))
         UNION ALL SELECT 'gold', 'load_profile', (SELECT count(DISTINCT hour(read_at) * 2 + minute(read_at) // 30)
             FROM clean_readings)
-        UNION ALL SELECT 'gold', 'segments', (SELECT count(DISTINCT meter_id) FROM lake_readings)""", "lake_readings", "stamps", "households", "holidays"),
+        UNION ALL SELECT 'gold', 'segments', (SELECT count(DISTINCT meter_id) FROM lake_readings)
+        UNION ALL SELECT 'gold', 'segment_centres', 3 * 48
+        UNION ALL SELECT 'silver', 'meters', (SELECT count(DISTINCT meter_id) FROM lake_readings)
+        UNION ALL SELECT 'gold', 'group_homes', (SELECT count(DISTINCT (group_name, tariff, detail_code))
+            FROM lake_readings JOIN households USING (meter_id))""", "lake_readings", "stamps", "households", "holidays"),
     "forecast_audit": _sql("""
         SELECT 'gold' AS layer, 'daily_totals' AS table_name, (SELECT count(*) FROM totals) AS row_count
         UNION ALL SELECT 'gold', 'forecast', (SELECT count(*) - CAST(floor(0.75 * count(*)) AS BIGINT) FROM days)
@@ -245,6 +273,50 @@ ORACLES: dict[str, str] = {
         SELECT group_name, tariff, count(DISTINCT meter_id) AS households, count(*) AS home_days,
                round(sum(daily_kwh), 4) AS kwh
         FROM lake_fact GROUP BY group_name, tariff""", "lake_fact"),
+    "csv_malformed": """
+        SELECT 'block_' || (user_id % 5) || '.csv' AS source_file, count(*) AS n_rows, count(*) FILTER (bad) AS malformed,
+               count(*) FILTER (event_id % 50 <> 0) AS with_energy, (SELECT count(*) FROM events WHERE event_id % 50 = 0 OR event_id % 49 = 0) AS malformed_in_all
+        FROM (SELECT *, event_id % 50 = 0 OR event_id % 49 = 0 AS bad FROM events) GROUP BY 1""",
+    "lake_days": _sql("""
+        SELECT CAST(meter_id AS VARCHAR) AS meter_id, read_at, kwh, 202401 AS year_month FROM clean_readings
+        WHERE CAST(read_at AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-17'""", "clean_readings"),
+    "lake_homes_by_tariff": _sql("SELECT tariff, count(DISTINCT meter_id) AS homes FROM lake_fact GROUP BY tariff", "lake_fact"),
+    "lake_homes_by_category": _sql("""
+        SELECT detail_code, group_name, count(DISTINCT meter_id) AS homes FROM lake_fact GROUP BY detail_code, group_name""", "lake_fact"),
+    "lake_segment_consumption": _sql("""
+        SELECT count(DISTINCT meter_id) AS households, round(sum(daily_kwh), 4) AS kwh, count(*) AS days FROM lake_fact""", "lake_fact"),
+    "view_tile_1_kpi": _sql(f"""
+        SELECT round(sum(total_tenths) / 1e7::DOUBLE, 2) AS total_gwh,
+               {_whole_mean("sum(avg_thousandths)", "count(*)", 1000, 2)} / 100.0::DOUBLE AS avg_kwh_per_home_per_day,
+               max(active_homes) AS peak_active_homes, count(*) AS days_covered FROM lake_totals""", "lake_totals"),
+    "view_tile_2_trend": _sql("""
+        SELECT day, avg_thousandths / 1e3::DOUBLE AS avg_kwh_per_home, total_tenths / 10.0::DOUBLE AS total_kwh, active_homes
+        FROM lake_totals ORDER BY day""", "lake_totals"),
+    "view_tile_3_detail_category": _sql(f"""
+        SELECT detail_code, {_whole_mean("sum(cents)", "count(*)", 100, 3)} / 1e3::DOUBLE AS avg_daily_kwh, count(DISTINCT meter_id) AS homes
+        FROM lake_cents WHERE detail_code IS NOT NULL GROUP BY detail_code HAVING count(DISTINCT meter_id) >= 5""", "lake_cents"),
+    "view_tile_4_tariff": _sql(f"""
+        SELECT tariff, {_whole_mean("sum(avg_thousandths)", "count(*)", 1000, 3)} / 1e3::DOUBLE AS avg_daily_kwh, CAST(sum(households) AS BIGINT) AS households
+        FROM lake_profile GROUP BY tariff""", "lake_profile"),
+    "view_tile_5_demand_vs_temp": _sql("""
+        SELECT temp_avg, avg_thousandths / 1e3::DOUBLE AS avg_kwh_per_home, season FROM lake_totals WHERE temp_avg IS NOT NULL""", "lake_totals"),
+    "view_tile_6_season_effects": _sql(f"""
+        SELECT season, {_whole_mean("sum(avg_thousandths)", "count(*)", 1000, 3)} / 1e3::DOUBLE AS avg_per_home,
+               {_whole_mean("sum(avg_thousandths) FILTER (is_weekend = 1)", "nullif(count(*) FILTER (is_weekend = 1), 0)", 1000, 3)} / 1e3::DOUBLE AS weekend,
+               {_whole_mean("sum(avg_thousandths) FILTER (is_weekend = 0)", "nullif(count(*) FILTER (is_weekend = 0), 0)", 1000, 3)} / 1e3::DOUBLE AS weekday,
+               {_whole_mean("sum(avg_thousandths) FILTER (is_holiday = 1)", "nullif(count(*) FILTER (is_holiday = 1), 0)", 1000, 3)} / 1e3::DOUBLE AS holiday
+        FROM lake_totals GROUP BY season""", "lake_totals"),
+    "view_tile_7_load_curve": _sql("SELECT half_hour, clock_time, avg_kwh FROM lake_load", "lake_load"),
+    "view_tile_8_segments_sum": _sql("SELECT count(DISTINCT meter_id) AS households, 3::BIGINT AS segments FROM lake_readings", "lake_readings"),
+    "view_tile_9_top_households": _sql(f"""
+        SELECT CAST(meter_id AS VARCHAR) AS meter_id, {_whole_mean("sum(cents)", "count(*)", 100, 2)} / 100.0::DOUBLE AS avg_daily_kwh,
+               max(tariff) AS tariff, max(detail_code) AS detail_code
+        FROM lake_cents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""", "lake_cents"),
+    "silver_daily_exact": _sql(f"""
+        SELECT meter_id, day, {_whole_mean("sum(millionths)", "1", 10**6, 4)} / 1e4::DOUBLE AS energy_sum,
+               {_whole_mean("sum(millionths)", "count(*)", 10**6, 5)} / 1e5::DOUBLE AS energy_mean,
+               1::BIGINT AS n_values, 5::BIGINT AS n_layouts
+        FROM tied GROUP BY meter_id, day""", "tied"),
     "silver_readings": _sql("""
         SELECT meter_id, read_at, CAST(read_at AS DATE) AS day, CAST(hour(read_at) AS INTEGER) AS hour,
                CAST(hour(read_at) * 2 + CASE WHEN minute(read_at) >= 30 THEN 1 ELSE 0 END AS INTEGER) AS half_hour,
@@ -359,6 +431,12 @@ ORACLES: dict[str, str] = {
         _pk("gold.group_profile", "(SELECT DISTINCT group_name, tariff FROM lake_fact)", "group_name, tariff"),
         _pk("gold.load_profile", f"(SELECT DISTINCT half_hour FROM {_SLOT_COLUMNS})", "half_hour"),
         _pk("gold.segments", "(SELECT DISTINCT meter_id FROM lake_daily)", "meter_id"),
+        _pk("silver.meters", "(SELECT DISTINCT meter_id FROM lake_daily)", "meter_id"),
+        "SELECT 'primary_key', 'gold.segment_centres', 0",
+        _pk("gold.group_homes", "(SELECT DISTINCT group_name, tariff, detail_code FROM lake_fact)", "group_name, tariff, detail_code"),
+        "SELECT 'domain:meter_no', 'silver.meters', 0",
+        "SELECT 'domain:half_hour', 'gold.segment_centres', 0",
+        _fk("household_day -> meters", "lake_daily", "(SELECT DISTINCT meter_id FROM lake_daily)", "meter_id"),
         _domain("silver.readings", _SLOT_COLUMNS, "hour", "hour BETWEEN 0 AND 23"),
         _domain("silver.readings", _SLOT_COLUMNS, "half_hour", "half_hour BETWEEN 0 AND 47"),
         _domain("silver.households", "households", "tariff", "tariff IN ('Standard', 'Time-of-Use')"),
@@ -377,6 +455,10 @@ ORACLES: dict[str, str] = {
         + f" FROM (SELECT *, CASE WHEN {_SHAPE_SUM} = 0 THEN 1 ELSE {_SHAPE_SUM} END AS total FROM shape)", "shape"),
     "ml_segments_cover_meters": _sql("""
         SELECT count(DISTINCT meter_id) AS n_rows, count(DISTINCT meter_id) AS meters, true AS in_range FROM slots""", "slots"),
+    "ml_segments_nearest": _sql("SELECT count(DISTINCT meter_id) AS meters, 0::BIGINT AS not_nearest FROM slots", "slots"),
+    "ml_segment_centres_are_means": "SELECT 144::BIGINT AS n, 0::BIGINT AS apart",
+    "ml_forecast_proofs": """
+        SELECT * FROM (VALUES ('beats the mean', true), ('weights add up to one', true), ('predicts the same again', true)) AS t("check", holds)""",
     "ml_segment_sizes_sum": _sql("SELECT count(DISTINCT meter_id) AS households FROM slots", "slots"),
     "ml_segment_curves_mean": _sql(
         "SELECT half_hour, round(avg(share), 6) AS share FROM ("

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import functools
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,7 +14,7 @@ from meterlake import tables as t
 from meterlake.harness import inputs
 from meterlake.operators.dedup import smallest_value
 from meterlake.operators.pivot import SLOT_COLUMNS
-from meterlake.plans import dashboard, findings, forecast, gold, pipeline, quality, segments, silver
+from meterlake.plans import dashboard, findings, forecast, gold, pipeline, quality, segments, silver, tiles
 from meterlake.sources.lake import Lake
 from meterlake.sources.scratch import materialize
 
@@ -27,6 +29,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _once(build: Callable[[SparkSession, str], object]) -> Callable[[SparkSession, str], object]:
+    """What several queries read is built once for a session and a folder of tables; its results lie in saved files."""
+    found = functools.lru_cache(maxsize=8)(lambda application, spark, sf_dir: build(spark, sf_dir))
+    return lambda spark, sf_dir: found(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 # bronze and the saved lake
 
 
@@ -42,6 +50,19 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with too few or too many fields: kept in bronze with their text, counted by the save for the audit."""
+    lake = Lake(spark, inputs.write_uneven_readings(spark, sf_dir))
+    lake.create_schemas()
+    bronze = lake.ingest("readings", t.BRONZE_READINGS, t.READINGS_FILE)
+    audited = lake.write_audit().filter(F.col("run_id") == lake.run_id).first().malformed_rows
+    files = bronze.groupBy(F.regexp_extract("_source_file", "/halfhourly/name=([^/]+)/", 1).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_malformed_row").alias("malformed"), F.count("energy_kWh_hh").alias("with_energy")
+    )
+    return files.withColumn("malformed_in_all", F.lit(audited).cast("long"))
+
+
+@_once
 def _built_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(spark, inputs.write_sources(spark, sf_dir))
     pipeline.run(lake)
@@ -87,6 +108,43 @@ def views_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(VIEW_CUSTOMERS)
 
 
+def lake_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of ten days of a saved lake, read from the folder of their month alone."""
+    days = _built_lake(spark, sf_dir).read_days(t.SILVER_READINGS, datetime.date(2024, 1, 8), datetime.date(2024, 1, 17))
+    return days.select("meter_id", "read_at", "kwh", "year_month")
+
+
+def lake_homes_by_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct homes of each tariff, rolled up from the bitmaps of finer cells."""
+    return dashboard.distinct_homes(_built_lake(spark, sf_dir).read(t.GOLD_GROUP_HOMES), "tariff")
+
+
+def lake_homes_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.distinct_homes(_built_lake(spark, sf_dir).read(t.GOLD_GROUP_HOMES), "detail_code", "group_name")
+
+
+def lake_segment_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments' energy from the saved fact and segments, both bucketed by meter; summed up, whatever the fit."""
+    lake = _built_lake(spark, sf_dir)
+    totals = dashboard.segment_totals(lake.read(t.SILVER_DAILY), lake.read(t.GOLD_SEGMENTS))
+    return totals.agg(F.sum("households").alias("households"), F.round(F.sum("kwh"), 4).alias("kwh"), F.sum("days").alias("days"))
+
+
+def _tile_of_lake(name: str) -> Query:
+    """A tile read by name from the views of a saved lake."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.table(_built_lake(spark, sf_dir).config.table("gold", name))
+
+    query.__name__ = f"view_{name}"
+    return query
+
+
+def view_tile_8_segments_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever the fit: the homes of the segments in the saved tile add up to the meters."""
+    return _tile_of_lake("tile_8_segments")(spark, sf_dir).agg(F.sum("households").alias("households"), F.count("*").alias("segments"))
+
+
 def contract_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on a saved lake, whose weather file lacks a column."""
     return quality.check(_built_lake(spark, sf_dir))
@@ -97,7 +155,7 @@ def forecast_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, inputs.new_lake(spark))
     lake.create_schemas()
     lake.save(gold_daily_totals(spark, sf_dir), t.GOLD_DAILY_TOTALS)
-    pipeline.build_forecast(lake)
+    pipeline.save_forecast(lake, _forecast(spark, sf_dir))
     return lake.write_audit().select("layer", "table_name", "row_count")
 
 
@@ -117,6 +175,17 @@ def silver_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.daily_statistics(inputs.readings(spark, sf_dir))
 
 
+def silver_daily_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and means on half ties, over five layouts of the same rows: each value, and how many values there were."""
+    readings = inputs.tied_readings(spark, sf_dir)
+    layouts = [readings.repartition(n) for n in (1, 2, 3, 7)] + [readings.repartitionByRange(5, F.desc("kwh"))]
+    every = _union([silver.daily_statistics(rows, exact=True).select("meter_id", "day", "energy_sum", "energy_mean") for rows in layouts])
+    return every.groupBy("meter_id", "day").agg(
+        F.max("energy_sum").alias("energy_sum"), F.max("energy_mean").alias("energy_mean"),
+        (F.countDistinct("energy_sum", "energy_mean")).alias("n_values"), F.count(F.lit(1)).alias("n_layouts"),
+    )
+
+
 def silver_households(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.households(spark, sf_dir)
 
@@ -340,8 +409,30 @@ def ml_silhouette_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.silhouettes(segments.shape_vectors(_shares(spark, sf_dir)))
 
 
+@_once
+def _fitted_segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    labels, centres = segments.fitted_segments(inputs.readings(spark, sf_dir))
+    return materialize(labels, "segments"), materialize(centres, "segment-centres")
+
+
 def ml_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments.segment_meters(inputs.readings(spark, sf_dir))
+    return _fitted_segments(spark, sf_dir)[0]
+
+
+def ml_segments_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each meter against every centre of the fit: none is nearer to another segment's centre than to its own."""
+    labels, centres = _fitted_segments(spark, sf_dir)
+    return segments.nearness(_shares(spark, sf_dir), labels, centres)
+
+
+def ml_segment_centres_are_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each centre of the fit is the mean shape of its meters: the fit has come to rest."""
+    labels, centres = _fitted_segments(spark, sf_dir)
+    means = segments.segment_curves(_shares(spark, sf_dir), labels).withColumnRenamed("share", "mean")
+    apart = F.abs(F.col("share") - F.col("mean"))
+    return centres.join(means, ["segment", "half_hour"], "full").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(apart < 1e-3, F.lit(False))).alias("apart")
+    )
 
 
 def ml_segment_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,7 +453,7 @@ def ml_segment_sizes_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_segment_curves_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whatever the fit: the curves weighted by the sizes are the mean share of all meters."""
-    shares, labelled = _shares(spark, sf_dir), materialize(ml_segments(spark, sf_dir), "segments")
+    shares, labelled = _shares(spark, sf_dir), ml_segments(spark, sf_dir)
     sized = segments.segment_curves(shares, labelled).join(dashboard.segment_sizes(labelled), "segment")
     mean = F.sum(F.col("share") * F.col("households")) / F.sum("households")
     return sized.groupBy("half_hour").agg(F.round(mean, 6).alias("share"))
@@ -383,6 +474,7 @@ def ml_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.time_split(ml_forecast_features(spark, sf_dir)).select("day", "is_train")
 
 
+@_once
 def _forecast(spark: SparkSession, sf_dir: str) -> forecast.Forecast:
     return forecast.fit_forecast(ml_forecast_features(spark, sf_dir))
 
@@ -407,6 +499,11 @@ def ml_forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(forecast.metrics(forecast.mean_baseline(split)), 6, "rmse", "mae", "r2")
 
 
+def ml_forecast_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of a sound fit, whatever the data."""
+    return forecast.proofs(_forecast(spark, sf_dir))
+
+
 def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.importances(_forecast(spark, sf_dir))
 
@@ -414,8 +511,10 @@ def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        csv_ingest, medallion_roundtrip, layer_audit, forecast_audit, views_demand, views_customers,
-        silver_readings, dedup_by_key, silver_daily, silver_households, silver_weather, silver_holidays,
+        csv_ingest, csv_malformed, medallion_roundtrip, layer_audit, forecast_audit, views_demand, views_customers,
+        lake_days, lake_homes_by_tariff, lake_homes_by_category, lake_segment_consumption,
+        *[_tile_of_lake(name) for name in tiles.TILES], view_tile_8_segments_sum,
+        silver_readings, dedup_by_key, silver_daily, silver_daily_exact, silver_households, silver_weather, silver_holidays,
         dedup_households, dedup_weather_stamps,
         gold_fact, gold_daily_totals, gold_daily_totals_from_fact, gold_group_profile, gold_load_profile,
         tile_1_kpi, tile_2_trend, tile_3_detail_category, tile_4_tariff, tile_4_tariff_weighted,
@@ -424,7 +523,7 @@ QUERIES: dict[str, Query] = {
         finding_peak_slots, finding_category_gap, finding_tariff_gap, finding_season_gap,
         contract_pk, contract_fk, contract_domain, contract_lake,
         ml_load_shape, ml_load_shape_l1, ml_silhouette_sweep, ml_segments, ml_segment_curves,
-        ml_segments_cover_meters, ml_segment_sizes_sum, ml_segment_curves_mean, ml_segment_totals,
-        ml_forecast_held_out, ml_forecast_baseline, ml_forecast_features, ml_time_split, ml_forecast, ml_forecast_metrics, ml_feature_importance,
+        ml_segments_nearest, ml_segment_centres_are_means, ml_segments_cover_meters, ml_segment_sizes_sum, ml_segment_curves_mean, ml_segment_totals,
+        ml_forecast_held_out, ml_forecast_baseline, ml_forecast_features, ml_time_split, ml_forecast, ml_forecast_metrics, ml_forecast_proofs, ml_feature_importance,
     )
 }

@@ -79,6 +79,12 @@ def tariff_comparison(profile: DataFrame, digits: int | None = 3) -> DataFrame:
     )
 
 
+def distinct_homes(homes: DataFrame, *by: str) -> DataFrame:
+    """Homes per cell of ``by``, exactly, from the bitmaps of finer cells: a home in several of them counts once."""
+    united = homes.groupBy(*by, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("homes")).alias("homes"))
+    return united.groupBy(*by).agg(F.sum("homes").alias("homes"))
+
+
 def tariff_comparison_weighted(fact: DataFrame) -> DataFrame:
     """Tariffs as the mean over all their meter-days."""
     return (

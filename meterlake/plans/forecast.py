@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import calendar
 from meterlake.operators.split import last_training_day, training_flag
-from meterlake.sources.scratch import ensure_checkpoint_dir, materialize
+from meterlake.sources.scratch import ensure_checkpoint_dir, materialize, new_folder
 
 # Fixed values of the model.
 FEATURES = ("temp_avg", "month", "weekday", "is_weekend", "is_holiday", "season_idx")
@@ -51,18 +52,42 @@ def time_split(days: DataFrame, share: float = TRAINING_SHARE) -> DataFrame:
 class Forecast:
     model: GBTRegressionModel
     predictions: DataFrame  # day, actual, prediction over the held-out days
+    vectors: DataFrame  # the feature table with is_train and the assembled features
 
 
 def fit_forecast(days: DataFrame, trees: int = TREES, share: float = TRAINING_SHARE) -> Forecast:
     """Fit on the earliest days and predict the rest."""
     ensure_checkpoint_dir(days.sparkSession)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    vectors = assembler.transform(time_split(days, share))
+    # bounded by the calendar: one partition, so that each of the small jobs behind a tree is one task
+    vectors = assembler.transform(time_split(days, share).coalesce(1))
     model = GBTRegressor(
         maxIter=trees, maxDepth=DEPTH, stepSize=LEARNING_RATE, seed=SEED, maxBins=MAX_BINS
     ).fit(vectors.filter("is_train"))
-    held_out = model.transform(vectors.filter("NOT is_train"))
-    return Forecast(model, held_out.select("day", F.col("label").alias("actual"), "prediction"))
+    return Forecast(model, materialize(_predicted(model, vectors.filter("NOT is_train")), "forecast"), vectors)
+
+
+def _predicted(model: GBTRegressionModel, vectors: DataFrame) -> DataFrame:
+    return model.transform(vectors).select("day", F.col("label").alias("actual"), "prediction")
+
+
+def proofs(forecast: Forecast) -> DataFrame:
+    """``check, holds``: what is true of a sound fit, whatever the data.
+
+    Over the days it learned from, its squared error is below that of their mean. The weights of the features are not
+    negative and add up to 1. The model, saved and loaded again, predicts the same for each held-out day.
+    """
+    spark = forecast.predictions.sparkSession
+    training = forecast.vectors.filter("is_train")
+    fit = metrics(_predicted(forecast.model, training)).select((F.col("r2") > 0).alias("holds"))
+    weights = importances(forecast).agg(((F.abs(F.sum("importance") - 1) < 1e-9) & (F.min("importance") >= 0)).alias("holds"))
+    path = new_folder(spark, "forecast-model")
+    forecast.model.save(path)
+    again = _predicted(GBTRegressionModel.load(path), forecast.vectors.filter("NOT is_train"))
+    same = again.select("day", F.col("prediction").alias("again")).join(forecast.predictions, "day", "full")
+    repeated = same.agg((F.count_if(~F.coalesce(F.col("again") == F.col("prediction"), F.lit(False))) == 0).alias("holds"))
+    named = {"beats the mean": fit, "weights add up to one": weights, "predicts the same again": repeated}
+    return reduce(DataFrame.unionByName, [found.select(F.lit(name).alias("check"), F.coalesce("holds", F.lit(False)).alias("holds")) for name, found in named.items()])
 
 
 def metrics(predictions: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import calendar
-from meterlake.functions.rounding import rounder
+from meterlake.functions.rounding import Totals, rounder
 
 DAY_ATTRIBUTES = ("season", "is_weekend", "is_holiday")
 
@@ -56,9 +56,9 @@ def household_days(
     return with_calendar(with_household(measured, households), weather, holidays)
 
 
-def daily_totals(fact: DataFrame, rounded: bool = True) -> DataFrame:
-    """One row per day, from the fact. The day fixes its attributes and its temperature."""
-    return _by_day(fact, (*DAY_ATTRIBUTES,), F.max("temp_avg"), rounded)
+def daily_totals(fact: DataFrame, rounded: bool = True, exact: bool = False) -> DataFrame:
+    """One row per day, from the fact. The day fixes its attributes and its temperature. For ``exact`` see ``Totals``."""
+    return _by_day(fact, (*DAY_ATTRIBUTES,), F.max("temp_avg"), rounded, exact)
 
 
 def daily_totals_unsaved(
@@ -78,11 +78,11 @@ def daily_totals_unsaved(
     )
 
 
-def _by_day(rows: DataFrame, attributes: tuple[str, ...], temperature, rounded: bool) -> DataFrame:
-    r = rounder(rounded)
+def _by_day(rows: DataFrame, attributes: tuple[str, ...], temperature, rounded: bool, exact: bool = False) -> DataFrame:
+    r, total = rounder(rounded), Totals(exact, rounded)
     measures = [
-        r(F.sum("daily_kwh"), 1).alias("total_kwh"),
-        r(F.avg("daily_kwh"), 3).alias("avg_kwh_per_home"),
+        total.sum("daily_kwh", 1).alias("total_kwh"),
+        total.avg("daily_kwh", 3).alias("avg_kwh_per_home"),
         # one row per (meter, day): counting rows with a meter counts distinct meters
         F.count("meter_id").alias("active_homes"),
     ]
@@ -91,16 +91,15 @@ def _by_day(rows: DataFrame, attributes: tuple[str, ...], temperature, rounded:
     return rows.groupBy("day", *attributes).agg(*measures)
 
 
-def group_consumption(fact: DataFrame, rounded: bool = True) -> DataFrame:
+def group_consumption(fact: DataFrame, rounded: bool = True, exact: bool = False) -> DataFrame:
     """Average meter-day and distinct homes of each customer group and tariff."""
-    r = rounder(rounded)
     return fact.groupBy("group_name", "tariff").agg(
-        r(F.avg("daily_kwh"), 3).alias("avg_daily_kwh"),
+        Totals(exact, rounded).avg("daily_kwh", 3).alias("avg_daily_kwh"),
         F.countDistinct("meter_id").alias("households"),
     )
 
 
-def group_profile(fact: DataFrame, rounded: bool = True) -> DataFrame:
+def group_profile(fact: DataFrame, rounded: bool = True, exact: bool = False) -> DataFrame:
     """``group_consumption`` with the median meter-day.
 
     Two aggregates over the fact instead of one: a median beside a distinct count would be kept
@@ -110,7 +109,7 @@ def group_profile(fact: DataFrame, rounded: bool = True) -> DataFrame:
     medians = fact.groupBy("group_name", "tariff").agg(
         r(F.percentile_approx("daily_kwh", 0.5, MEDIAN_ACCURACY), 3).alias("median_daily_kwh")
     )
-    c, m = group_consumption(fact, rounded).alias("c"), medians.alias("m")
+    c, m = group_consumption(fact, rounded, exact).alias("c"), medians.alias("m")
     same_cell = F.col("c.group_name").eqNullSafe(F.col("m.group_name")) & F.col("c.tariff").eqNullSafe(
         F.col("m.tariff")
     )
@@ -119,8 +118,18 @@ def group_profile(fact: DataFrame, rounded: bool = True) -> DataFrame:
     )
 
 
-def load_profile(readings: DataFrame, rounded: bool = True) -> DataFrame:
+def group_homes(fact: DataFrame, meters: DataFrame) -> DataFrame:
+    """Homes of each (group, tariff, category) as bitmaps of the meters' numbers, 32,768 numbers to a bitmap.
+
+    Cells of bitmaps can be united, so distinct homes of any coarser cell follow from this table alone. Tasks keep
+    one bitmap of 4 KB for a cell and bucket, however many meter-days fall into it.
+    """
+    number = F.col("meter_no")
+    cell = ("group_name", "tariff", "detail_code", F.bitmap_bucket_number(number).alias("bucket"))
+    return fact.join(meters, "meter_id").groupBy(*cell).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("homes"))
+
+
+def load_profile(readings: DataFrame, rounded: bool = True, exact: bool = False) -> DataFrame:
     """Average demand in each of the 48 half-hours of a day."""
-    r = rounder(rounded)
-    averages = readings.groupBy("half_hour").agg(r(F.avg("kwh"), 5).alias("avg_kwh"))
+    averages = readings.groupBy("half_hour").agg(Totals(exact, rounded).avg("kwh", 5).alias("avg_kwh"))
     return averages.select("half_hour", calendar.clock_time("half_hour").alias("clock_time"), "avg_kwh")

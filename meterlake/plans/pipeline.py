@@ -5,9 +5,13 @@ Tables that do not depend on each other are saved together.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
 from meterlake import tables as t
 from meterlake.concurrency import together
-from meterlake.plans import forecast, gold, segments, silver
+from meterlake.plans import forecast, gold, segments, silver, tiles
 from meterlake.sources.lake import Lake
 
 
@@ -28,9 +32,9 @@ def land_sources(lake: Lake) -> None:
 
 def build_silver(lake: Lake) -> None:
     def readings_and_daily() -> None:
-        readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), clustered=True)
+        readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), by_month=True)
         saved = lake.save(readings, t.SILVER_READINGS)
-        lake.save(silver.daily_statistics(saved), t.SILVER_DAILY)
+        build_daily(lake, saved)
 
     together(
         lake.spark,
@@ -43,6 +47,22 @@ def build_silver(lake: Lake) -> None:
     )
 
 
+def build_daily(lake: Lake, readings: DataFrame) -> None:
+    daily = lake.save(silver.daily_statistics(readings, exact=True), t.SILVER_DAILY)
+    numbered = lake.read(t.SILVER_METERS) if lake.current_version(t.SILVER_METERS) else None
+    lake.save(silver.number_meters(daily, numbered), t.SILVER_METERS)
+
+
+def resave_months(lake: Lake, months: Sequence[int]) -> None:
+    """Clean the readings of some months again (202401 for January 2024) and replace these months alone; then all that follows.
+
+    For bronze that has got new files for old months. The files of other months are not written.
+    """
+    readings = silver.clean_readings(lake.read(t.BRONZE_READINGS), by_month=True, months=months)
+    build_daily(lake, lake.save_partitions(readings, t.SILVER_READINGS, [(month,) for month in months]))
+    build_gold(lake)
+
+
 def build_gold(lake: Lake) -> None:
     def fact_and_its_marts() -> None:
         fact = lake.save(
@@ -57,8 +77,9 @@ def build_gold(lake: Lake) -> None:
         together(
             lake.spark,
             [
-                lambda: lake.save(gold.daily_totals(fact), t.GOLD_DAILY_TOTALS),
-                lambda: lake.save(gold.group_profile(fact), t.GOLD_GROUP_PROFILE),
+                lambda: lake.save(gold.daily_totals(fact, exact=True), t.GOLD_DAILY_TOTALS),
+                lambda: lake.save(gold.group_profile(fact, exact=True), t.GOLD_GROUP_PROFILE),
+                lambda: lake.save(gold.group_homes(fact, lake.read(t.SILVER_METERS)), t.GOLD_GROUP_HOMES),
             ],
         )
 
@@ -66,18 +87,24 @@ def build_gold(lake: Lake) -> None:
         lake.spark,
         [
             fact_and_its_marts,
-            lambda: lake.save(gold.load_profile(lake.read(t.SILVER_READINGS)), t.GOLD_LOAD_PROFILE),
+            lambda: lake.save(gold.load_profile(lake.read(t.SILVER_READINGS), exact=True), t.GOLD_LOAD_PROFILE),
         ],
     )
 
 
 def build_segments(lake: Lake) -> None:
-    lake.save(segments.segment_meters(lake.read(t.SILVER_READINGS)), t.GOLD_SEGMENTS)
+    """Labels and centres of one fit."""
+    labels, centres = segments.fitted_segments(lake.read(t.SILVER_READINGS))
+    lake.save(labels, t.GOLD_SEGMENTS)
+    lake.save(centres, t.GOLD_SEGMENT_CENTRES)
 
 
 def build_forecast(lake: Lake, trees: int = forecast.TREES) -> None:
     """One fit on the saved day totals: predictions, errors and weights. It needs weather for days on both sides of the split."""
-    fitted = forecast.fit_forecast(forecast.features(lake.read(t.GOLD_DAILY_TOTALS)), trees)
+    save_forecast(lake, forecast.fit_forecast(forecast.features(lake.read(t.GOLD_DAILY_TOTALS)), trees))
+
+
+def save_forecast(lake: Lake, fitted: forecast.Forecast) -> None:
     predicted = lake.save(fitted.predictions, t.GOLD_FORECAST)
     lake.save(forecast.metrics(predicted), t.GOLD_FORECAST_METRICS)
     lake.save(forecast.importances(fitted), t.GOLD_FORECAST_FEATURES)
@@ -89,4 +116,5 @@ def run(lake: Lake) -> None:
     build_silver(lake)
     build_gold(lake)
     build_segments(lake)
+    tiles.define(lake)
     lake.write_audit()

@@ -94,18 +94,53 @@ def silhouettes(
     return spark.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
 
 
-def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
-    """``meter_id, segment``; segments are numbered by the slot of their peak, then by their curve.
+def _by_peak(model: KMeansModel) -> list[tuple[int, list[float]]]:
+    """(cluster, centre) in the order of the segments: by the slot of the peak, then by the curve.
 
     K-Means numbers its clusters arbitrarily; this order is a property of the clusters themselves.
     """
-    centres = [list(centre) for centre in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: (centres[i].index(max(centres[i])), centres[i]))
-    number = F.array(*[F.lit(order.index(i)) for i in range(len(centres))])
+    centres = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
+    return sorted(centres, key=lambda c: (c[1].index(max(c[1])), c[1]))
+
+
+def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
+    """``meter_id, segment``; segments are numbered by the slot of their peak."""
+    segment_of = {cluster: segment for segment, (cluster, _) in enumerate(_by_peak(model))}
+    number = F.array(*[F.lit(segment_of[i]) for i in range(len(segment_of))])
     assigned = model.transform(vectors)
     return assigned.select("meter_id", F.element_at(number, F.col("prediction") + 1).alias("segment"))
 
 
+def centres(model: KMeansModel, vectors: DataFrame) -> DataFrame:
+    """``segment, half_hour, share``: the centres as fitted, numbered like the segments."""
+    rows = [(segment, slot, share) for segment, (_, centre) in enumerate(_by_peak(model)) for slot, share in enumerate(centre)]
+    return vectors.sparkSession.createDataFrame(rows, "segment int, half_hour int, share double")
+
+
+def distances(shares: DataFrame, centre_rows: DataFrame) -> DataFrame:
+    """``meter_id, segment, distance``: squared, of every meter to every centre.
+
+    Shares turned long meet the k x 48 rows of the centres by their slot; a meter costs k rows after the sum in its task.
+    """
+    slots = [(str(slot), column) for slot, column in enumerate(SLOT_COLUMNS)]
+    wide = shares.select("meter_id", *[F.col(column).alias(slot) for slot, column in slots])
+    long = wide.unpivot(["meter_id"], [slot for slot, _ in slots], "slot", "own")
+    met = long.join(centre_rows, long.slot.cast("int") == centre_rows.half_hour)
+    apart = F.col("own") - F.col("share")
+    return met.groupBy("meter_id", "segment").agg(F.sum(apart * apart).alias("distance"))
+
+
+def nearness(shares: DataFrame, labels: DataFrame, centre_rows: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """``meters, not_nearest``: meters, and those with a centre that is nearer than that of their segment or without a segment."""
+    nearest = distances(shares, centre_rows).groupBy("meter_id").agg(
+        F.min("distance").alias("least"), F.collect_list(F.struct("segment", "distance")).alias("all")
+    )
+    own = F.element_at(F.filter("all", lambda d: d.segment == F.col("label")), 1).distance
+    judged = nearest.join(labels.select("meter_id", F.col("segment").alias("label")), "meter_id", "left")
+    far = F.coalesce(F.when(F.size(F.filter("all", lambda d: d.segment == F.col("label"))) > 0, own > F.col("least") + tolerance), F.lit(True))
+    return judged.agg(F.count(F.lit(1)).alias("meters"), F.count_if(far).alias("not_nearest"))
+
+
 def segment_curves(shares: DataFrame, segments: DataFrame) -> DataFrame:
     """``segment, half_hour, share``: the mean shape of each segment.
 
@@ -118,7 +153,13 @@ def segment_curves(shares: DataFrame, segments: DataFrame) -> DataFrame:
     return long.select("segment", F.col("half_hour").cast("int"), "share")
 
 
+def fitted_segments(readings: DataFrame, k: int = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """Readings to ``meter_id, segment`` and the centres, both of one fit."""
+    vectors = shape_vectors(share_of_day(load_shape(readings)))
+    model = fit_segments(vectors, k)
+    return assign(model, vectors), centres(model, vectors)
+
+
 def segment_meters(readings: DataFrame, k: int = SEGMENTS) -> DataFrame:
     """Readings to ``meter_id, segment``."""
-    vectors = shape_vectors(share_of_day(load_shape(readings)))
-    return assign(fit_segments(vectors, k), vectors)
+    return fitted_segments(readings, k)[0]

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from meterlake.functions.text import safe_names
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
+MALFORMED = "_malformed_row"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, **options) -> DataFrame:
@@ -19,12 +20,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, *
     Without a schema the columns are named by the header and are text. Types are never inferred:
     that would read all files once more and make the types depend on the data. Headers are checked
     against the schema file by file, so a file of another shape fails instead of being misread.
+    A row with too few or too many fields keeps what it has, and its whole text in ``_malformed_row``,
+    which is null in all others.
     """
-    settings = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False, **options}
+    settings = {
+        "header": True, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": MALFORMED, **options,
+    }
     reader = spark.read.options(**settings)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        schema = reader.csv(path).schema
+    whole_row = [StructField(settings["columnNameOfCorruptRecord"], StringType())] if settings["mode"] == "PERMISSIVE" else []
+    return reader.schema(StructType(schema.fields + whole_row)).csv(path)
 
 
 def read_csv_if_present(

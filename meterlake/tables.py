@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DateType,
     DoubleType,
@@ -17,7 +18,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-STRING, DOUBLE, INT, LONG, DATE = StringType(), DoubleType(), IntegerType(), LongType(), DateType()
+STRING, DOUBLE, INT, LONG, DATE, BINARY = StringType(), DoubleType(), IntegerType(), LongType(), DateType(), BinaryType()
 WALL_CLOCK, INSTANT = TimestampNTZType(), TimestampType()
 
 
@@ -30,7 +31,11 @@ class Column:
 
 @dataclass(frozen=True)
 class Table:
-    """``key`` is unique; ``domains`` are SQL conditions every row fulfils."""
+    """``key`` is unique; ``domains`` are SQL conditions every row fulfils.
+
+    ``partitioned_by`` names the last columns, a folder for each of their values; ``bucketed_by`` the column
+    whose equal values lie in one file, sorted.
+    """
 
     layer: str
     name: str
@@ -38,6 +43,8 @@ class Table:
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
     domains: dict[str, str] = field(default_factory=dict)
+    partitioned_by: tuple[str, ...] = ()
+    bucketed_by: str | None = None
 
     @property
     def schema(self) -> StructType:
@@ -58,6 +65,7 @@ HOUSEHOLDS_FILE = StructType(
 HOLIDAYS_FILE = StructType([StructField(n, STRING) for n in ("Bank holidays", "Type")])
 
 LINEAGE = (
+    Column("_malformed_row", STRING, "the whole row, where it has too few or too many fields"),
     Column("_source_file", STRING, "file the row came from"),
     Column("_ingested_at", INSTANT, "time of ingest"),
 )
@@ -129,14 +137,17 @@ SILVER_READINGS = Table(
         Column("hour", INT, "0..23"),
         Column("half_hour", INT, "slot of the day, 0..47"),
         Column("kwh", DOUBLE, "energy of the half hour"),
+        Column("year_month", INT, "month of the reading, 202401 for January 2024"),
     ),
     key=("meter_id", "read_at"),
     domains={"hour": "hour BETWEEN 0 AND 23", **_SLOT_DOMAIN},
+    partitioned_by=("year_month",),
 )
 SILVER_DAILY = Table(
     "silver", "daily", "Statistics per meter and day, derived from the readings",
     (METER, DAY, Column("energy_sum", DOUBLE, "kWh of the day"), *_DAILY_STATISTICS),
     key=("meter_id", "day"),
+    bucketed_by="meter_id",
 )
 SILVER_HOUSEHOLDS = Table(
     "silver", "households", "Meters with tariff and customer group",
@@ -150,6 +161,14 @@ SILVER_HOUSEHOLDS = Table(
     ),
     key=("meter_id",),
     domains=_TARIFF_DOMAIN,
+    bucketed_by="meter_id",
+)
+SILVER_METERS = Table(
+    "silver", "meters", "Every meter with readings and its number",
+    (METER, Column("meter_no", LONG, "number of the meter from 1; kept from save to save")),
+    key=("meter_id",),
+    domains={"meter_no": "meter_no > 0"},
+    bucketed_by="meter_id",
 )
 SILVER_WEATHER = Table(
     "silver", "weather", "Weather by day",
@@ -183,6 +202,7 @@ GOLD_FACT = Table(
         "day_of_week": "day_of_week BETWEEN 1 AND 7",
         **_FLAG_DOMAINS,
     },
+    bucketed_by="meter_id",
 )
 GOLD_DAILY_TOTALS = Table(
     "gold", "daily_totals", "Demand of all homes per day",
@@ -208,6 +228,17 @@ GOLD_GROUP_PROFILE = Table(
     ),
     key=("group_name", "tariff"),
 )
+GOLD_GROUP_HOMES = Table(
+    "gold", "group_homes", "Homes of each customer group, tariff and category as bitmaps of their numbers, to be rolled up",
+    (
+        Column("group_name", STRING),
+        Column("tariff", STRING),
+        Column("detail_code", STRING),
+        Column("bucket", LONG, "which 32,768 numbers the bitmap is of"),
+        Column("homes", BINARY, "bitmap of meter numbers"),
+    ),
+    key=("group_name", "tariff", "detail_code", "bucket"),
+)
 GOLD_LOAD_PROFILE = Table(
     "gold", "load_profile", "Average demand per half-hour slot",
     (
@@ -222,6 +253,17 @@ GOLD_SEGMENTS = Table(
     "gold", "segments", "Behavioural segment of each meter",
     (METER, Column("segment", INT, "0..k-1, by time of the peak")),
     key=("meter_id",),
+    bucketed_by="meter_id",
+)
+GOLD_SEGMENT_CENTRES = Table(
+    "gold", "segment_centres", "Centre of each behavioural segment, as fitted",
+    (
+        Column("segment", INT, "0..k-1, by time of the peak"),
+        Column("half_hour", INT, "slot of the day, 0..47"),
+        Column("share", DOUBLE, "share of the day's energy in the slot"),
+    ),
+    key=("segment", "half_hour"),
+    domains=_SLOT_DOMAIN,
 )
 GOLD_FORECAST = Table(
     "gold", "forecast", "Predicted demand of the held-out days",
@@ -244,8 +286,8 @@ GOLD_FORECAST_FEATURES = Table(
 
 TABLES = (
     BRONZE_READINGS, BRONZE_HOUSEHOLDS, BRONZE_HOLIDAYS, BRONZE_WEATHER,
-    SILVER_READINGS, SILVER_DAILY, SILVER_HOUSEHOLDS, SILVER_WEATHER, SILVER_HOLIDAYS,
-    GOLD_FACT, GOLD_DAILY_TOTALS, GOLD_GROUP_PROFILE, GOLD_LOAD_PROFILE, GOLD_SEGMENTS,
+    SILVER_READINGS, SILVER_DAILY, SILVER_HOUSEHOLDS, SILVER_METERS, SILVER_WEATHER, SILVER_HOLIDAYS,
+    GOLD_FACT, GOLD_DAILY_TOTALS, GOLD_GROUP_PROFILE, GOLD_GROUP_HOMES, GOLD_LOAD_PROFILE, GOLD_SEGMENTS, GOLD_SEGMENT_CENTRES,
     GOLD_FORECAST, GOLD_FORECAST_METRICS, GOLD_FORECAST_FEATURES,
 )
 
@@ -254,4 +296,5 @@ REFERENCES = (
     (GOLD_FACT, SILVER_HOUSEHOLDS, "meter_id"),
     (GOLD_FACT, SILVER_WEATHER, "day"),
     (GOLD_SEGMENTS, SILVER_HOUSEHOLDS, "meter_id"),
+    (GOLD_FACT, SILVER_METERS, "meter_id"),
 )

@@ -75,7 +75,7 @@ def test_sources_to_gold(lake):
     pipeline.run(lake)
 
     bronze = lake.read(t.BRONZE_READINGS)
-    assert bronze.columns == ["LCLid", "tstp", "energy_kWh_hh", "_source_file", "_ingested_at"]
+    assert bronze.columns == ["LCLid", "tstp", "energy_kWh_hh", "_malformed_row", "_source_file", "_ingested_at"]
     assert bronze.count() == 8
     assert {r[0].rsplit("/", 1)[1] for r in bronze.select("_source_file").distinct().collect()} == {
         "block_0.csv", "block_1.csv",
@@ -102,14 +102,14 @@ def test_sources_to_gold(lake):
     assert lake.read(t.GOLD_LOAD_PROFILE).count() == 4
 
     # what is saved is what the dictionary says
-    assert len(lake.saved()) == 14
+    assert len(lake.saved()) == 17
     for table in lake.saved():
         if table.layer != "bronze":
             assert schema_differences(lake.read(table), table) == []
     comments = {f.name: f.metadata.get("comment") for f in fact.schema.fields}
     assert comments["daily_kwh"] == "kWh of the day"
 
-    assert lake.tables("silver") == ["daily", "holidays", "households", "readings", "weather"]
+    assert lake.tables("silver") == ["daily", "holidays", "households", "meters", "readings", "weather"]
     assert lake.preview(t.GOLD_FACT, 2).count() == 2
 
 
@@ -133,14 +133,14 @@ def test_a_second_run_gives_the_same_tables_and_adds_to_the_audit(spark, lake):
     counted = {(r.layer, r.table_name): r.row_count for r in audit.filter(audit.run_id == lake.run_id).collect()}
     for (layer, name), count in counted.items():
         assert spark.table(lake.config.table(layer, name)).count() == count
-    assert len(counted) == 14
+    assert len(counted) == 17
 
 
 def test_a_new_catalog_takes_over_the_files_of_an_old_one(spark, lake):
     lake.create_schemas()
     first = spark.createDataFrame([(0, "00:00", 1.0), (1, "00:30", 2.0)], "half_hour int, clock_time string, avg_kwh double")
     lake.save(first, t.GOLD_LOAD_PROFILE)
-    spark.sql(f"DROP TABLE {lake.config.table('gold', 'load_profile')}")
+    spark.sql(f"DROP VIEW {lake.config.table('gold', 'load_profile')}")
     saved = lake.save(first.limit(1), t.GOLD_LOAD_PROFILE)
     assert rows(saved) == [(0, "00:00", 1.0)]
 
@@ -155,13 +155,16 @@ def test_a_failed_save_leaves_the_old_table(spark, lake):
     assert rows(lake.read(t.GOLD_LOAD_PROFILE)) == rows(first)
 
 
-def test_a_table_can_be_made_from_itself_and_leaves_one_version(spark, lake):
+def test_a_table_can_be_made_from_itself_and_leaves_the_last_two_versions(spark, lake):
     lake.create_schemas()
     first = spark.createDataFrame([(0, "00:00", 1.0), (1, "00:30", 2.0)], "half_hour int, clock_time string, avg_kwh double")
     lake.save(first, t.GOLD_LOAD_PROFILE)
     saved = lake.save(lake.read(t.GOLD_LOAD_PROFILE).filter("half_hour = 1"), t.GOLD_LOAD_PROFILE)
     assert rows(saved) == [(1, "00:30", 2.0)]
-    assert len(list(pathlib.Path(lake.config.location("gold", "load_profile")).iterdir())) == 1
+    for _ in range(3):
+        lake.save(lake.read(t.GOLD_LOAD_PROFILE), t.GOLD_LOAD_PROFILE)
+    assert len(list(pathlib.Path(lake.config.location("gold", "load_profile")).iterdir())) == 2
+    assert len(spark.catalog.listTables(lake.config.versions("gold"))) == 2
     assert lake.tables("gold") == ["load_profile"]
 
 
@@ -176,7 +179,7 @@ def test_tables_of_the_warehouse_are_replaced_too(spark, tmp_path):
 
 def test_declared_tables_can_be_created_first(spark, lake):
     lake.create_tables()
-    assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 17
+    assert sum(len(lake.tables(layer)) for layer in ("bronze", "silver", "gold")) == 20
     for table in t.TABLES:
         empty = lake.read(table)
         assert schema_differences(empty, table) == []
@@ -214,7 +217,7 @@ def test_a_file_of_another_shape_fails(spark, tmp_path):
 def test_lineage_names_and_caller_options(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a b;c(d)\n1;2\n")
     landed = with_lineage(read_csv(spark, str(tmp_path / "x.csv"), sep=";"))
-    assert landed.columns == ["a_b", "c_d", "_source_file", "_ingested_at"]
+    assert landed.columns == ["a_b", "c_d", "_malformed_row", "_source_file", "_ingested_at"]
     assert tuple(landed.select("a_b", "c_d").first()) == ("1", "2")
 
 

@@ -12,7 +12,7 @@ from meterlake.plans import silver
 
 PURE = [
     name for name in QUERIES
-    if name not in {"csv_ingest", "medallion_roundtrip", "layer_audit"}
+    if name not in {"csv_ingest", "medallion_roundtrip", "layer_audit", "csv_malformed"}
     and not (name.startswith("ml_") and name not in {"ml_load_shape", "ml_load_shape_l1", "ml_forecast_features"})
     and name not in {"tile_8_segments", "segment_consumption"}
 ]

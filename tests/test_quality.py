@@ -37,13 +37,15 @@ def test_schema_differences(spark):
 
 
 def test_dictionary_is_consistent():
-    assert len(t.TABLES) == 17
-    assert len({(x.layer, x.name) for x in t.TABLES}) == 17
+    assert len(t.TABLES) == 20
+    assert len({(x.layer, x.name) for x in t.TABLES}) == 20
     for table in t.TABLES:
         names = {c.name for c in table.columns}
         assert len(names) == len(table.columns)
         assert set(table.key) <= names
         assert set(table.domains) <= names
+        assert {table.bucketed_by or table.columns[0].name} <= names
+        assert table.partitioned_by == tuple(c.name for c in table.columns)[len(table.columns) - len(table.partitioned_by) :]
     for child, parent, key in t.REFERENCES:
         assert key in {c.name for c in child.columns}
         assert parent.key == (key,)

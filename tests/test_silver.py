@@ -103,8 +103,9 @@ def test_clustering_keeps_rows_and_puts_a_meter_day_into_one_partition(spark):
     raw = spark.createDataFrame(
         [(f"M{i % 7}", f"2013-01-{1 + i % 5:02d} {i % 24:02d}:00:00", f" {i} ") for i in range(400)], READINGS
     )
-    laid = silver.clean_readings(raw, clustered=True)
-    assert rows(laid) == rows(silver.clean_readings(raw))
+    laid = silver.clean_readings(raw, by_month=True)
+    assert rows(laid.drop("year_month")) == rows(silver.clean_readings(raw))
+    assert rows(laid.select("year_month").distinct()) == [(201301,)]
     spread = laid.withColumn("p", F.spark_partition_id()).groupBy("meter_id", "day").agg(F.countDistinct("p").alias("n"))
     assert spread.agg(F.max("n")).first()[0] == 1
 
@@ -163,3 +164,38 @@ def test_clean_holidays(spark):
     assert rows(silver.clean_holidays(raw)) == [
         (D(2012, 12, 25), "Christmas Day"), (D(2012, 12, 26), "Boxing Day"),
     ]
+
+
+def test_clean_readings_of_some_months(spark):
+    raw = spark.createDataFrame(
+        [("A", f"2013-{m:02d}-0{d} 00:00:00", str(m)) for m in range(1, 13) for d in (1, 2)] + [("A", "2014-02-01 00:00:00", "9")], READINGS
+    )
+    some = silver.clean_readings(raw, months=[201302, 201311])
+    assert rows(some, "kwh") == [(2.0,), (2.0,), (11.0,), (11.0,)] or sorted(r.kwh for r in some.collect()) == [2.0, 2.0, 11.0, 11.0]
+
+
+def test_meters_keep_their_numbers(spark):
+    def daily(*names):
+        return spark.createDataFrame([(n, d) for n in names for d in (1, 2, 3)], "meter_id string, day int").repartition(3)
+
+    first = silver.number_meters(daily(*[f"M{k}" for k in range(40)]), parts=7)
+    numbers = {r.meter_id: r.meter_no for r in first.collect()}
+    assert sorted(numbers.values()) == list(range(1, 41))
+    assert numbers == {r.meter_id: r.meter_no for r in silver.number_meters(daily(*reversed(list(numbers))).repartition(9), parts=7).collect()}
+    later = silver.number_meters(daily("M3", "new", "newer"), first, parts=7)
+    grown = {r.meter_id: r.meter_no for r in later.collect()}
+    assert {k: grown[k] for k in numbers} == numbers and sorted(grown[k] for k in ("new", "newer")) == [41, 42]
+    assert silver.number_meters(daily("x").limit(0), parts=7).count() == 0
+
+
+def test_exact_sums_round_halves_up_in_any_order(spark):
+    values = [0.1, 0.2, 0.3, 1e9, -1e9, 0.00005, 1e-7, 2.5]
+    schema = "meter_id string, day int, kwh double"
+    forward = spark.createDataFrame([("A", 1, v) for v in values], schema).coalesce(1)
+    backward = spark.createDataFrame([("A", 1, v) for v in reversed(values)], schema).repartition(5)
+    found = [silver.daily_statistics(f, exact=True).select("energy_sum", "energy_mean").first() for f in (forward, backward)]
+    assert found[0] == found[1] == (3.1001, 0.38751)
+    ties = spark.createDataFrame([("A", 1, 1.00005), ("B", 1, 0.00015), ("B", 1, 0.0002), ("C", 1, None)], schema)
+    assert rows(silver.daily_statistics(ties, exact=True), "meter_id", "energy_sum", "energy_mean") == [
+        ("A", 1.0001, 1.00005), ("B", 0.0004, 0.00018), ("C", None, None),
+    ]

@@ -1,0 +1,353 @@
+"""What a save promises: one step for readers, months and meters where they are looked for, checks counted while writing."""
+
+from __future__ import annotations
+
+import datetime
+import json
+import pathlib
+import re
+import threading
+
+import pytest
+from frames import rows
+from pyspark.sql import functions as F
+
+from meterlake import tables as t
+from meterlake.config import LakeConfig
+from meterlake.harness import queries
+from meterlake.plans import dashboard, forecast, gold, pipeline, quality, segments, tiles
+from meterlake.sources.csv_files import MALFORMED, read_csv
+from meterlake.sources.lake import Lake, proven_unique
+
+D = datetime.date
+LOADS = "half_hour int, clock_time string, avg_kwh double"
+
+
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    """An empty lake with files of its own."""
+    found = Lake(spark, LakeConfig(str(tmp_path), namespace=f"v{abs(hash(str(tmp_path)))}", table_root=str(tmp_path / "tables"), buckets=4))
+    found.create_schemas()
+    return found
+
+
+def loads(spark, n=2, kwh=1.0):
+    return spark.range(n).selectExpr("CAST(id AS INT) AS half_hour", "'00:00' AS clock_time", f"CAST({kwh} AS DOUBLE) AS avg_kwh")
+
+
+def readings(spark, months=(201301, 201302, 201303), meters=30, days=4):
+    """Saved readings by month, four a day."""
+    keys = [(f"M{m:02d}", datetime.datetime(ym // 100, ym % 100, 1 + d, h), float(m + h)) for ym in months for m in range(meters) for d in range(days) for h in (0, 6, 12, 18)]
+    frame = spark.createDataFrame(keys, "meter_id string, read_at timestamp_ntz, kwh double")
+    from meterlake.plans import silver
+
+    return silver.with_slots(silver.clustered_by_month(frame), "year_month")
+
+
+# the switch of a name
+
+
+def test_readers_never_find_a_table_gone(spark, lake):
+    lake.save(loads(spark, kwh=0), t.GOLD_LOAD_PROFILE)
+    name, seen, failed, done = lake.config.table("gold", "load_profile"), set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.update(r.avg_kwh for r in spark.table(name).select("avg_kwh").distinct().collect())
+            except Exception as error:  # noqa: BLE001  any failure of a reader is the finding
+                failed.append(error)
+                return
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 7):
+        lake.save(loads(spark, kwh=k), t.GOLD_LOAD_PROFILE)
+    done.set()
+    reader.join()
+    assert not failed and len(seen) > 1
+
+
+@pytest.mark.parametrize("step", ["_point", "_drop_old_versions"])
+def test_a_crash_between_the_steps_leaves_a_whole_version(spark, lake, monkeypatch, step):
+    lake.save(loads(spark, kwh=1), t.GOLD_LOAD_PROFILE)
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError, match="crash"):
+        patched.setattr(Lake, step, crash)
+        lake.save(loads(spark, kwh=2), t.GOLD_LOAD_PROFILE)
+    expected = 1.0 if step == "_point" else 2.0
+    assert {r.avg_kwh for r in lake.read(t.GOLD_LOAD_PROFILE).collect()} == {expected}
+    for kwh in (3, 4):
+        lake.save(loads(spark, kwh=kwh), t.GOLD_LOAD_PROFILE)
+    assert len(spark.catalog.listTables(lake.config.versions("gold"))) == 2
+
+
+def test_a_name_saved_as_a_table_once_becomes_a_view(spark, lake):
+    name = lake.config.table("gold", "load_profile")
+    loads(spark).write.saveAsTable(name)
+    assert lake.facts(t.GOLD_LOAD_PROFILE) == {} and quality.check(lake).filter("violations > 0").count() == 0
+    assert lake.save(loads(spark, 3), t.GOLD_LOAD_PROFILE).count() == 3
+    assert spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def test_old_versions_of_other_tables_stay(spark, lake):
+    """Names that begin alike."""
+    metrics = spark.createDataFrame([(1.0, 1.0, 1.0)], "rmse double, mae double, r2 double")
+    days = spark.createDataFrame([(D(2013, 1, 1), 1.0, 1.0)], "day date, actual double, prediction double")
+    lake.save(metrics, t.GOLD_FORECAST_METRICS)
+    for _ in range(4):
+        lake.save(days, t.GOLD_FORECAST)
+    assert lake.read(t.GOLD_FORECAST_METRICS).count() == 1 and lake.tables("gold") == ["forecast", "forecast_metrics"]
+
+
+# readings by month
+
+
+def files(lake, table):
+    folder = pathlib.Path(lake._folder(lake.current_version(table)).removeprefix("file:"))
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_a_month_reads_its_folder_alone(spark, lake):
+    lake.save(readings(spark), t.SILVER_READINGS)
+    february = lake.read_days(t.SILVER_READINGS, D(2013, 2, 1), D(2013, 2, 28))
+    assert february.count() == 30 * 4 * 4
+    text = plan(february)
+    assert re.search(r"PartitionFilters: \[[^\]]*year_month#\d+ [<>]=? 201302", text)
+    assert {name.split("/")[0] for name in (f.split("/")[-2] for f in february.inputFiles())} == {"year_month=201302"}
+    two = lake.read_days(t.SILVER_READINGS, D(2013, 1, 4), D(2013, 2, 1))
+    assert two.count() == 30 * 4 * 2
+    assert lake.read_days(t.SILVER_READINGS, D(2012, 1, 1), D(2012, 12, 31)).count() == 0
+
+
+def test_no_file_for_each_task_and_month(spark, lake):
+    months = tuple(201301 + k for k in range(12))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lake.save(readings(spark, months=months), t.SILVER_READINGS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(months) <= len(files(lake, t.SILVER_READINGS)) < len(months) + tasks
+
+
+def test_saving_a_month_again_leaves_the_others_alone(spark, lake):
+    lake.save(readings(spark), t.SILVER_READINGS)
+    before = files(lake, t.SILVER_READINGS)
+    changed = readings(spark, months=(201302, 201303), meters=2)
+    saved = lake.save_partitions(changed, t.SILVER_READINGS, [(201302,)])
+    counted = {r.year_month: r["count"] for r in saved.groupBy("year_month").count().collect()}
+    assert counted == {201301: 480, 201302: 32, 201303: 480}
+    after = files(lake, t.SILVER_READINGS)
+    assert {k: v for k, v in after.items() if "201302" not in k} == {k: v for k, v in before.items() if "201302" not in k}
+    assert lake.facts(t.SILVER_READINGS) == {}
+    emptied = lake.save_partitions(changed.limit(0), t.SILVER_READINGS, [(201301,), (201302,)])
+    assert [r.year_month for r in emptied.select("year_month").distinct().collect()] == [201303]
+    with pytest.raises(ValueError):
+        lake.save_partitions(loads(spark), t.GOLD_LOAD_PROFILE, [(1,)])
+
+
+@pytest.fixture
+def small_lake(spark, tmp_path):
+    """Two months of readings and one household."""
+    source = tmp_path / "source"
+    for name, text in {
+        "halfhourly/block_0.csv": "LCLid,tstp,energy(kWh/hh)\nA,2013-01-01 00:00:00,1\nA,2013-02-01 00:00:00,2\nB,2013-02-01 00:30:00,3\nA,2013-02-02\nA,2013-02-03 00:00:00,1,2\n",
+        "households/informations_households.csv": "LCLid,stdorToU,Acorn,Acorn_grouped,file\nA,Std,ACORN-A,Affluent,block_0\nB,ToU,ACORN-B,Affluent,block_0\n",
+        "weather/weather_daily_darksky.csv": "time,temperatureMax,temperatureMin\n2013-01-01 00:00:00,8,2\n2013-02-01 00:00:00,9,1\n",
+        "calendar/uk_bank_holidays.csv": "Bank holidays,Type\n2013-01-01,New Year\n",
+    }.items():
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_text(text)
+    lake = Lake(spark, LakeConfig(str(source), namespace=f"s{abs(hash(str(tmp_path)))}", table_root=str(tmp_path / "tables"), buckets=3))
+    pipeline.land_sources(lake)
+    pipeline.build_silver(lake)
+    pipeline.build_gold(lake)
+    return lake
+
+
+def test_a_late_file_changes_its_month_and_what_follows(spark, small_lake):
+    lake = small_lake
+    january = {k: v for k, v in files(lake, t.SILVER_READINGS).items() if "201301" in k}
+    late = pathlib.Path(lake.config.source_root) / "halfhourly" / "block_1.csv"
+    late.write_text("LCLid,tstp,energy(kWh/hh)\nB,2013-02-01 00:00:00,4\nC,2013-01-01 00:00:00,9\n")
+    lake.ingest("readings", t.BRONZE_READINGS, t.READINGS_FILE)
+    numbers = {r.meter_id: r.meter_no for r in lake.read(t.SILVER_METERS).collect()}
+    pipeline.resave_months(lake, [201302])
+    assert {k: v for k, v in files(lake, t.SILVER_READINGS).items() if "201301" in k} == january
+    assert rows(lake.read(t.GOLD_DAILY_TOTALS), "day", "total_kwh") == [(D(2013, 1, 1), 1.0), (D(2013, 2, 1), 9.0), (D(2013, 2, 3), 1.0)]
+    assert {r.meter_id: r.meter_no for r in lake.read(t.SILVER_METERS).collect()} == numbers
+
+
+# malformed rows
+
+
+def test_malformed_rows_are_kept_and_counted(spark, small_lake):
+    bronze = small_lake.read(t.BRONZE_READINGS)
+    assert rows(bronze.filter(F.col(MALFORMED).isNotNull()), "tstp", "energy_kWh_hh", MALFORMED) == [
+        ("2013-02-02", None, "A,2013-02-02"), ("2013-02-03 00:00:00", "1", "A,2013-02-03 00:00:00,1,2"),
+    ]
+    audit = {(r.layer, r.table_name): r.malformed_rows for r in small_lake.write_audit().collect()}
+    assert audit["bronze", "readings"] == 2 and audit["bronze", "weather"] == 0 and audit["silver", "readings"] is None
+    assert small_lake.facts(t.BRONZE_READINGS)["malformed"] == 2
+
+
+def test_without_a_schema_malformed_rows_show_too(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    found = read_csv(spark, str(tmp_path / "x.csv"))
+    assert rows(found) == [("1", "2", None), ("3", None, "3"), ("4", "5", "4,5,6")]
+    assert read_csv(spark, str(tmp_path / "x.csv"), mode="DROPMALFORMED").columns == ["a", "b"]
+
+
+# checks while writing
+
+
+def test_rules_are_counted_while_writing_and_not_again(spark, lake):
+    broken = spark.createDataFrame([(0, "a", 1.0), (48, "b", 1.0), (None, "c", 1.0)], LOADS)
+    lake.save(broken, t.GOLD_LOAD_PROFILE)
+    assert lake.facts(t.GOLD_LOAD_PROFILE) == {"rows": 3, "domain:half_hour": 2, "key": "open"}
+    found = quality.check(lake)
+    assert {(r["check"], r.violations) for r in found.collect()} == {("schema", 0), ("primary_key", 0), ("domain:half_hour", 2)}
+    assert "BETWEEN" not in plan(found) and ">= 0" not in plan(found) and "count_if" not in plan(found)
+    lake._forget(t.GOLD_LOAD_PROFILE)
+    assert {(r["check"], r.violations) for r in quality.check(lake).collect()} == {("schema", 0), ("primary_key", 0), ("domain:half_hour", 2)}
+
+
+def test_keys_that_a_grouping_made_are_proven(spark, small_lake):
+    proven = {table.name for table in small_lake.saved() if small_lake.facts(table).get("key") == "proven"}
+    assert {"readings", "daily", "households", "weather", "holidays", "load_profile", "group_homes"} <= proven
+    assert "household_day" not in proven
+    assert {(r["check"], r.table_name) for r in quality.check(small_lake).collect()} >= {("primary_key", "silver.readings"), ("primary_key", "gold.household_day")}
+
+
+def test_what_is_not_grouped_is_not_proven(spark):
+    frame = spark.createDataFrame([(1, 2, 3.0)], "a int, b int, c double")
+    grouped = frame.groupBy("a", "b").agg(F.sum("c").alias("c"))
+    assert proven_unique(grouped, ["a", "b"]) and proven_unique(grouped.withColumn("d", F.col("c") + 1).filter("d > 0"), ["b", "a"])
+    assert proven_unique(grouped.repartition(3, "a").sortWithinPartitions("b"), ["a", "b", "c"])
+    for rows_of, key in [(frame, ["a"]), (grouped, ["a"]), (grouped.withColumn("a", F.col("a") % 2), ["a", "b"]), (grouped.unionAll(grouped), ["a", "b"]), (grouped, [])]:
+        assert not proven_unique(rows_of, key)
+
+
+# tables by meter
+
+
+def exchanges_over(text, table_part):
+    """Exchanges above the scan of a table, in the plan's text, up to the first join or aggregate that needs it."""
+    return [line for line in text.splitlines() if "Exchange" in line and table_part in line]
+
+
+def test_meters_meet_without_a_shuffle_of_the_fact(spark, lake):
+    lake.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        daily = spark.range(4000).selectExpr("concat('M', id % 200) AS meter_id", "date_add(DATE'2013-01-01', CAST(id DIV 200 AS INT)) AS day", "1D AS energy_sum")
+        for name in ("energy_mean", "energy_median", "energy_max", "energy_min", "energy_std"):
+            daily = daily.withColumn(name, F.lit(1.0))
+        lake.save(daily.withColumn("energy_count", F.lit(48).cast("long")), t.SILVER_DAILY)
+        labels = spark.range(200).selectExpr("concat('M', id) AS meter_id", "CAST(id % 3 AS INT) AS segment")
+        lake.save(labels, t.GOLD_SEGMENTS)
+        found = dashboard.segment_consumption(lake.read(t.SILVER_DAILY), lake.read(t.GOLD_SEGMENTS))
+        text = plan(found)
+        join = text.index("SortMergeJoin")
+        assert "Exchange" not in text[join:] and text.count("Bucketed: true") == 2
+        assert rows(found) == [(0, 67, 1.0), (1, 67, 1.0), (2, 66, 1.0)]
+        people = labels.selectExpr("meter_id", "'Std' AS tariff_flag", "'Standard' AS tariff", "'a' AS detail_code", "'b' AS group_raw", "'b' AS group_name")
+        lake.save(people, t.SILVER_HOUSEHOLDS)
+        joined = plan(gold.with_household(lake.read(t.SILVER_DAILY), lake.read(t.SILVER_HOUSEHOLDS)))
+        assert "SortMergeJoin" in joined and "Exchange" not in joined
+        orphans = plan(quality.orphans(lake.read(t.SILVER_DAILY), lake.read(t.SILVER_HOUSEHOLDS), "meter_id", "x"))
+        assert "hashpartitioning" not in orphans
+    finally:
+        lake.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_bucket_is_one_file(spark, lake):
+    labels = spark.range(500, numPartitions=7).selectExpr("concat('M', id) AS meter_id", "CAST(id % 3 AS INT) AS segment")
+    lake.save(labels, t.GOLD_SEGMENTS)
+    assert len(files(lake, t.GOLD_SEGMENTS)) == 4
+
+
+# homes as bitmaps
+
+
+def test_homes_roll_up_exactly(spark):
+    fact = spark.createDataFrame(
+        [(m, d, g, tariff, c) for m, g, tariff, c in [("A", "x", "S", "1"), ("A", "x", "T", "1"), ("B", "x", "S", "2"), ("C", None, None, None), ("Z", "y", "S", "2")] for d in (1, 2)],
+        "meter_id string, day int, group_name string, tariff string, detail_code string",
+    )
+    meters = spark.createDataFrame([("A", 1), ("B", 32768), ("C", 32769), ("Z", 10**12)], "meter_id string, meter_no long")
+    homes = gold.group_homes(fact, meters)
+    assert homes.select("bucket").distinct().count() == 3
+    for by in ([], ["tariff"], ["group_name"], ["detail_code", "tariff"]):
+        united = dashboard.distinct_homes(homes, *by)
+        counted = fact.groupBy(*by).agg(F.countDistinct("meter_id").alias("homes"))
+        assert rows(united) == rows(counted)
+
+
+# the models
+
+
+def test_a_shuffled_labelling_is_found_out(spark, sf_dir):
+    labels, centres = queries._fitted_segments(spark, sf_dir)
+    shares = queries._shares(spark, sf_dir)
+    shuffled = labels.withColumn("segment", (F.col("segment") + F.xxhash64("meter_id") % 2 + 3) % 3)
+    good, bad = segments.nearness(shares, labels, centres).first(), segments.nearness(shares, shuffled, centres).first()
+    assert good.not_nearest == 0 and bad.not_nearest > 0 and good.meters == bad.meters
+    missing = segments.nearness(shares, labels.filter("segment > 0"), centres).first()
+    assert missing.not_nearest == labels.filter("segment = 0").count()
+
+
+def test_an_unsound_forecast_is_found_out(spark, sf_dir):
+    fitted = queries._forecast(spark, sf_dir)
+    assert all(r.holds for r in forecast.proofs(fitted).collect())
+    moved = forecast.Forecast(fitted.model, fitted.predictions.withColumn("prediction", F.col("prediction") + 1e-9), fitted.vectors)
+    assert {r["check"]: r.holds for r in forecast.proofs(moved).collect()}["predicts the same again"] is False
+    noise = fitted.vectors.withColumn("label", F.rand(1) * 1e6)
+    lost = forecast.Forecast(fitted.model, fitted.predictions, noise)
+    assert {r["check"]: r.holds for r in forecast.proofs(lost).collect()}["beats the mean"] is False
+
+
+# tiles
+
+
+def test_another_session_reads_the_tiles_by_name(spark, sf_dir):
+    lake = queries._built_lake(spark, sf_dir)
+    stranger = spark.newSession()
+    for name, (comment, _) in tiles.TILES.items():
+        full = lake.config.table("gold", name)
+        assert stranger.table(full).count() > 0 or name == "tile_3_detail_category"  # few homes in the smallest tables
+        assert stranger.catalog.getTable(full).description == comment
+    functions = {
+        "tile_2_trend": dashboard.demand_trend(lake.read(t.GOLD_DAILY_TOTALS)), "tile_4_tariff": dashboard.tariff_comparison(lake.read(t.GOLD_GROUP_PROFILE)),
+        "tile_6_season_effects": dashboard.season_effects(lake.read(t.GOLD_DAILY_TOTALS)), "tile_8_segments": dashboard.segment_sizes(lake.read(t.GOLD_SEGMENTS)),
+        "tile_9_top_households": dashboard.top_households(lake.read(t.GOLD_FACT)), "tile_3_detail_category": dashboard.detail_categories(lake.read(t.GOLD_FACT)),
+        "tile_1_kpi": dashboard.kpis(lake.read(t.GOLD_DAILY_TOTALS)), "tile_5_demand_vs_temp": dashboard.demand_against_temperature(lake.read(t.GOLD_DAILY_TOTALS)),
+        "tile_7_load_curve": dashboard.load_curve(lake.read(t.GOLD_LOAD_PROFILE)),
+    }
+    assert set(functions) == set(tiles.TILES)
+    for name, frame in functions.items():
+        assert spark.table(lake.config.table("gold", name)).columns == frame.columns
+        near = lambda found: [tuple(round(v, 1) if isinstance(v, float) else v for v in r) for r in rows(found)]
+        if name != "tile_9_top_households":
+            assert near(spark.table(lake.config.table("gold", name))) == near(frame)
+
+
+def test_tiles_follow_the_next_save(spark, lake):
+    lake.save(loads(spark, 2), t.GOLD_LOAD_PROFILE)
+    name, (comment, sql) = "tile_7_load_curve", tiles.TILES["tile_7_load_curve"]
+    lake.define_view(name, sql, comment)
+    lake.save(loads(spark, 5), t.GOLD_LOAD_PROFILE)
+    assert spark.table(lake.config.table("gold", name)).count() == 5
+    assert name not in [table.name for table in lake.saved()]
+
+
+def test_facts_are_plain_json(spark, lake):
+    lake.save(loads(spark), t.GOLD_LOAD_PROFILE)
+    assert json.loads(lake._properties(t.GOLD_LOAD_PROFILE)["meterlake.facts"])["rows"] == 2
