@@ -34,35 +34,39 @@ def training_examples(
     ``target`` is the position of the reply among the turns, from 0; an example without one has it null,
     an empty completion and no loss. The loss mask is ``loss_chars`` code points from ``loss_start`` (1-based)
     of the example's text. Null roles and texts are empty; null turns come first; equal turn numbers are
-    ordered by role and text, and repeated rows stay. Conversations with a null id are one conversation.
+    ordered by role and text, and repeated rows stay. A row with a null id is a conversation of its own.
+
+    The turns of a conversation are held by one task, once for each of its replies while that example is made: the examples
+    of a conversation grow with the square of its length, by the method.
     """
     turn = F.struct(
         F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    whole = conversations.select(F.col(conv_col).alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(
-        F.array_sort(F.collect_list("t")).alias("turns")
-    )
-    header = lambda t: F.concat(F.lit(START), escaped(t.role), F.lit(MIDDLE))
-    body = lambda t: F.concat(escaped(t.text), F.lit(END + "\n"))
+    given = conversations.select(F.col(conv_col).alias("conv_id"), turn.alias("t"))
+    named = given.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    nameless = F.lit(None).cast(given.schema["conv_id"].dataType).alias("conv_id")
+    whole = named.unionByName(given.filter("conv_id IS NULL").select(nameless, F.array("t").alias("turns")))
+    spell = lambda t: F.concat(F.lit(START), escaped(t.role), F.lit(MIDDLE), escaped(t.text), F.lit(END + "\n"))
+    header = START + ASSISTANT + MIDDLE
     n = F.size("turns")
+    replies = F.filter(F.transform("turns", lambda t, i: F.when(t.role == ASSISTANT, i)), lambda i: i.isNotNull())
     spoken = whole.select(
         "conv_id",
-        F.transform("turns", lambda t: F.concat(header(t), body(t))).alias("pieces"),
-        F.transform("turns", lambda t: F.when(t.role == ASSISTANT, header(t))).alias("headers"),
-        F.transform("turns", lambda t: F.when(t.role == ASSISTANT, body(t))).alias("replies"),
-        F.when(F.element_at("turns", -1).role == ASSISTANT, F.sequence(F.lit(0), n - 1)).otherwise(F.sequence(F.lit(0), n)).alias("at"),
-        n.alias("n"),
+        F.transform("turns", spell).alias("pieces"),
+        # the places of the replies, and the end where no reply is last
+        F.when(F.element_at("turns", -1).role == ASSISTANT, replies).otherwise(F.concat(replies, F.array(n))).alias("at"),
     )
-    at, reply = F.col("at"), F.get("replies", F.col("at"))
-    single = spoken.withColumn("at", F.explode("at")).filter((at == F.col("n")) | reply.isNotNull())
+    single = spoken.withColumn("at", F.explode("at"))
+    at = F.col("at")
+    is_reply = at < F.size("pieces")
     return single.select(
         "conv_id",
-        F.when(at < F.col("n"), at).alias("target"),
+        F.when(is_reply, at).alias("target"),
         at.alias("n_context"),
-        F.concat(F.array_join(F.slice("pieces", F.lit(1), at), ""), F.coalesce(F.get("headers", at), F.lit(""))).alias("prompt"),
-        F.coalesce(reply, F.lit("")).alias("completion"),
+        F.concat(F.array_join(F.slice("pieces", F.lit(1), at), ""), F.when(is_reply, F.lit(header)).otherwise("")).alias("prompt"),
+        F.coalesce(F.expr(f"substring(get(pieces, at), {len(header) + 1})"), F.lit("")).alias("completion"),
     ).select(
         "*",
         F.when(F.col("target").isNotNull(), F.length("prompt") + 1).alias("loss_start"),
@@ -90,16 +94,20 @@ def digests(examples: DataFrame) -> DataFrame:
     """
     text = F.concat("prompt", "completion")
     masked = F.coalesce(unescaped(text.substr(F.col("loss_start"), F.col("loss_chars"))), F.lit(""))
-    per_conversation = (
-        examples.select("conv_id", "n_context", text.alias("formatted"), masked.alias("loss"))
-        .groupBy("conv_id")
-        .agg(
-            F.max_by("formatted", "n_context").alias("longest"),
-            F.array_sort(F.collect_list(F.struct("n_context", "loss"))).alias("losses"),
-            F.sum(F.length("formatted")).alias("formatted_chars"),
-            F.count(F.lit(1)).alias("n_examples"),
-        )
-        .select("*", read_turns(F.col("longest")).alias("turns"), F.array_join(F.col("losses.loss"), "").alias("loss"))
+    read = examples.select("conv_id", "n_context", text.alias("formatted"), masked.alias("loss"))
+    named = read.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(
+        F.max_by("formatted", "n_context").alias("longest"),
+        F.array_sort(F.collect_list(F.struct("n_context", "loss"))).alias("losses"),
+        F.sum(F.length("formatted")).alias("formatted_chars"),
+        F.count(F.lit(1)).alias("n_examples"),
+    )
+    # a conversation without an id is one turn and so one example
+    nameless = read.filter("conv_id IS NULL").select(
+        "conv_id", F.col("formatted").alias("longest"), F.array(F.struct("n_context", "loss")).alias("losses"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.lit(1).cast("long").alias("n_examples"),
+    )
+    per_conversation = named.unionByName(nameless).select(
+        "*", read_turns(F.col("longest")).alias("turns"), F.array_join(F.col("losses.loss"), "").alias("loss")
     )
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     return per_conversation.select(

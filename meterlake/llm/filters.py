@@ -1,8 +1,13 @@
-"""Bloom filters over a whole table: built in its tasks, merged by segment, of a size that is a parameter.
+"""Bloom filters whose size follows the number of hashes.
 
-``once`` holds the hashes seen, ``twice`` those seen again. Both only ever give too much: a filter
-that fills up lets more pass, and whoever uses it confirms exactly, so size decides cost and not results.
-Tasks send their non-empty segments compressed; segments merge in three rounds of bounded groups.
+``second_sightings`` finds the hashes that occur twice. Hashes alone are dealt to tasks by an exchange; each task holds a
+filter of those it has seen, which grows in slices, and sends on what it meets again. So no task and no broadcast
+holds a filter of the whole table.
+
+``build`` makes a filter of given hashes to be broadcast, of ``BITS_PER_KEY`` bits for each and at most ``MAX_BITS``. Tasks send
+their non-empty segments compressed; segments merge in three rounds of bounded groups.
+
+A filter only ever gives too much: whoever uses it confirms exactly, so its size decides cost and not results.
 """
 
 from __future__ import annotations
@@ -16,12 +21,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: With three places for each key and so many bits, one in sixty other hashes passes.
 HASHES = 3
-SEGMENT = 1 << 18
+BITS_PER_KEY = 10
+#: 64 MB: what a broadcast filter may take in the driver and in each Python worker.
+MIN_BITS, MAX_BITS = 1 << 18, 1 << 29
 FAN_IN = 64
+_HELD = 1 << 20
+_GATHERED = 1 << 16
+
+_SCHEMA = "part long, segment int, bits binary"
+_FIELDS = pa.schema([("part", pa.int64()), ("segment", pa.int32()), ("bits", pa.binary())])
+
 
-_SCHEMA = "part long, segment int, once binary, twice binary"
-_FIELDS = pa.schema([("part", pa.int64()), ("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+def bits_for(n: int, most: int = MAX_BITS) -> int:
+    """A power of two of at least ``BITS_PER_KEY`` bits for each of n keys, within the bounds."""
+    return min(max(1 << (BITS_PER_KEY * max(n, 1) - 1).bit_length(), MIN_BITS), max(most, MIN_BITS))
+
+
+def fits(n: int, most: int = MAX_BITS) -> bool:
+    """Whether a filter of n keys within the bound still has ``BITS_PER_KEY`` bits for each."""
+    return BITS_PER_KEY * n <= most
 
 
 def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -31,7 +51,7 @@ def _places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 class Filter:
-    """A finished filter: one bit array of at most the size asked for."""
+    """A bit array; ``holds`` is true for every hash it was given and for few others."""
 
     def __init__(self, packed: np.ndarray, bits: int):
         self.packed, self.bits = packed, bits
@@ -42,67 +62,129 @@ class Filter:
             found &= (self.packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
         return found
 
+    def add(self, hashes: np.ndarray) -> None:
+        for place in _places(hashes, self.bits):
+            np.bitwise_or.at(self.packed, place >> 3, (128 >> (place & 7)).astype(np.uint8))
+
+    def fill(self) -> float:
+        return float(np.bitwise_count(self.packed).sum()) / self.bits
+
+
+class Seen:
+    """A filter that grows: once a slice has the keys it was made for, the next is twice as large."""
+
+    def __init__(self, first: int = 1 << 20):
+        self.slices: list[Filter] = []
+        self.next_bits, self.room = first, 0
 
-class _Pair:
-    def __init__(self, bits: int, again: bool):
-        self.bits, self.again, self.once = bits, again, np.zeros(bits, bool)
-        self.twice = np.zeros(bits if again else 0, bool)
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(hashes), bool)
+        for one in self.slices:
+            found |= one.holds(hashes)
+        return found
 
     def add(self, hashes: np.ndarray) -> None:
-        """Hashes of one unit or several; one that is there twice is seen twice."""
-        if not self.again:
-            for place in _places(hashes, self.bits):
-                self.once[place] = True
-            return
-        distinct, counts = np.unique(hashes, return_counts=True)
-        places = _places(distinct, self.bits)
-        again = (counts > 1) | (self.once[places[0]] & self.once[places[1]] & self.once[places[2]])
-        for place in places:
-            self.once[place] = True
-            self.twice[place[again]] = True
-
-    def segments(self, part: int) -> Iterator[pa.RecordBatch]:
-        for k in range(0, self.bits, SEGMENT):
-            if self.once[k : k + SEGMENT].any():
-                twice = self.twice[k : k + SEGMENT] if self.again else np.zeros(SEGMENT, bool)
-                yield _row(part, k // SEGMENT, np.packbits(self.once[k : k + SEGMENT]), np.packbits(twice))
-
-
-def _row(part: int, segment: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
-    packed = [zlib.compress(x.tobytes(), 1) for x in (once, twice)]
-    return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "once": packed[0], "twice": packed[1]}], _FIELDS)
+        """Hashes that are not held yet."""
+        while len(hashes):
+            if not self.room:
+                self.slices.append(Filter(np.zeros(self.next_bits // 8, np.uint8), self.next_bits))
+                self.room, self.next_bits = self.next_bits // BITS_PER_KEY, 2 * self.next_bits
+            self.slices[-1].add(hashes[: self.room])
+            taken = min(self.room, len(hashes))
+            self.room, hashes = self.room - taken, hashes[taken:]
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= _GATHERED:
+            yield _columns(held)
+            held, size = [], 0
+    if size:
+        yield _columns(held)
+
+
+def _columns(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("hash", "n"))
+
+
+def second_sightings(hashed: DataFrame) -> DataFrame:
+    """(hash), distinct: all that ``hashed`` (hash long, n long) holds in two rows, or in one with n > 1, and few others.
+
+    A hash may come in as many rows as chunks hold it; the task it is dealt to streams them and keeps its bits alone.
+    """
+
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen()
+        for hashes, n in _gathered(batches):
+            distinct, at, times = np.unique(hashes.view(np.uint64), return_index=True, return_counts=True)
+            known = seen.holds(distinct)
+            seen.add(distinct[~known])
+            again = distinct[known | (times > 1) | (n[at] > 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(again.view(np.int64))], names=["hash"])
+
+    return hashed.repartition("hash").mapInArrow(sift, "hash long").distinct()
+
+
+def _row(part: int, segment: int, packed: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "bits": zlib.compress(packed.tobytes(), 1)}], _FIELDS)
+
+
+def _segments(hashes: list[np.ndarray], bits: int, size: int, part: int) -> Iterator[pa.RecordBatch]:
+    places = np.unique(np.concatenate([p for h in hashes for p in _places(h, bits)]))
+    cuts = np.searchsorted(places, np.arange(0, bits + 1, size))
+    for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        own = np.zeros(size, bool)
+        own[places[cuts[k] : cuts[k + 1]] - k * size] = True
+        yield _row(part, k, np.packbits(own))
 
 
 def _merge(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
-    once = twice = np.zeros(SEGMENT // 8, np.uint8)
-    for row in rows:
-        a, b = (np.frombuffer(zlib.decompress(row[c]), np.uint8) for c in ("once", "twice"))
-        twice = twice | b | (once & a)
-        once = once | a
-    return pa.Table.from_batches([_row(rows[0]["part"] // FAN_IN, rows[0]["segment"], once, twice)])
+    bits = np.frombuffer(zlib.decompress(rows[0]["bits"]), np.uint8)
+    for row in rows[1:]:
+        bits = bits | np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+    return pa.Table.from_batches([_row(rows[0]["part"] // FAN_IN, rows[0]["segment"], bits)])
 
 
-def build(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int, again: bool = True) -> tuple[Filter, Filter]:
-    """The filters over all rows; without ``again`` the second stays empty. ``hashes_of`` gives arrays of 64-bit hashes for a batch.
+def build(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int) -> Filter:
+    """The filter of all hashes that ``hashes_of`` gives for the batches of the rows.
 
-    ``bits`` is a power of two of at least 2**18; the driver receives two bit arrays of that size.
+    ``bits`` is a power of two of at least ``MIN_BITS``; the driver receives so many bits, compressed.
     """
+    size = max(MIN_BITS, bits >> 8)
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = _Pair(bits, again)
+        held: list[np.ndarray] = []
+        count, part = 0, TaskContext.get().partitionId()
         for batch in batches:
             for hashes in hashes_of(batch):
-                pair.add(hashes)
-        yield from pair.segments(TaskContext.get().partitionId())
+                held.append(hashes)
+                count += len(hashes)
+                if count >= _HELD:
+                    yield from _segments(held, bits, size, part)
+                    held, count = [], 0
+        if count:
+            yield from _segments(held, bits, size, part)
 
     parts = rows.mapInArrow(collect, _SCHEMA)
     for _ in range(2):
         parts = parts.groupBy("segment", F.floor(F.col("part") / FAN_IN)).applyInArrow(_merge, _SCHEMA)
     parts = parts.groupBy("segment").applyInArrow(_merge, _SCHEMA)
-    once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-    for row in parts.select("segment", "once", "twice").collect():
-        at = row.segment * (SEGMENT // 8)
-        for whole, piece in ((once, row.once), (twice, row.twice)):
-            whole[at : at + SEGMENT // 8] = np.frombuffer(zlib.decompress(bytes(piece)), np.uint8)
-    return Filter(once, bits), Filter(twice, bits)
+    whole = np.zeros(bits // 8, np.uint8)
+    for row in parts.select("segment", "bits").collect():
+        at = row.segment * (size // 8)
+        whole[at : at + size // 8] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)
+    return Filter(whole, bits)
+
+
+def hash_column(name: str) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    """``hashes_of`` for rows that have their hashes in a column of longs."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield batch.column(name).to_numpy().view(np.uint64)
+
+    return hashes

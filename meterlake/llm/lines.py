@@ -1,9 +1,11 @@
 """Line dedup: lines that many documents share, found with two Bloom filters and confirmed exactly.
 
-One pass builds the filters of the hashes of line keys seen once and seen in a second document. Another
+One pass deals the hashes of line keys, and nothing else, to tasks that hold a filter of those seen once; what they
+meet in a second document makes the second filter, of keys seen twice, which is broadcast. Another pass
 sends on only the keys that the second filter holds; those are counted exactly, one row per document and
 key, with partial sums in the map tasks, so a line found in a third of all documents costs no more than
-another. The decisions go back to the documents by their id.
+another. The decisions go back to the documents by their id. Where keys seen twice are too many for a
+broadcast, the pass sends all keys with their hashes and a join keeps those seen twice.
 """
 
 from __future__ import annotations
@@ -18,11 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm import filters
-from meterlake.llm.text import SPACES, keyed, other_columns, per_chunk, with_row
+from meterlake.llm.text import SPACES, keyed, other_columns, per_chunk, signed, with_row
 from meterlake.sources.scratch import materialize
 
-#: Bits of each filter. More lines than a tenth of this only let more lines go to the exact count.
-FILTER_BITS = 1 << 24
 SHORT_KEY = 64
 
 
@@ -49,36 +49,50 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
 
 
-def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int, bits: int) -> DataFrame:
-    """(id, key, dropped, keepers): for each row of ``keyed`` documents with repeated lines, their key names.
-
-    ``keepers`` are those whose first document (smallest id) this row is.
-    """
+def _batch_hashes(batch: pa.RecordBatch, min_chars: int) -> pa.RecordBatch:
+    """(hash, n): the hashes of the batch's keys, with the number of its documents that hold them."""
+    held = [_hashes(list(_keys(text, min_chars))) for text in batch.column("text").to_pylist()]
+    found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
-    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        held: list[np.ndarray] = []
-        for text in batch.column("text").to_pylist():
-            held.append(_hashes(list(_keys(text, min_chars))))
-            if len(held) == 1000:
-                yield np.concatenate(held)
-                held = []
-        if held:
-            yield np.concatenate(held)
 
-    twice = rows.sparkSession.sparkContext.broadcast(filters.build(rows.select("text"), hashes_of, bits)[1])
+def suspected_lines(rows: DataFrame, min_chars: int, max_bits: int) -> DataFrame:
+    """(id, key, line): the key names of each document that another document seems to hold as well."""
+    hashed = rows.select("text").mapInArrow(lambda batches: (_batch_hashes(b, min_chars) for b in batches), "hash long, n long")
+    twice = materialize(filters.second_sightings(hashed), "lines-seen-twice")
+    n = twice.count()
+    held = None
+    if filters.fits(n, max_bits):
+        held = rows.sparkSession.sparkContext.broadcast(filters.build(twice, filters.hash_column("hash"), filters.bits_for(n, max_bits)))
 
     def suspects(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, names = [], []
+            at, names, hashes = [], [], [np.zeros(0, np.uint64)]
             for i, text in enumerate(batch.column("text").to_pylist()):
                 keys = list(_keys(text, min_chars))
-                again = [keys[k] for k in np.flatnonzero(twice.value.holds(_hashes(keys)))] if keys else []
+                if not keys:
+                    continue
+                own = _hashes(keys)
+                again = np.flatnonzero(held.value.holds(own)) if held else np.arange(len(keys))
                 at.extend([i] * len(again))
-                names.extend(map(_name, again))
+                names.extend(_name(keys[k]) for k in again.tolist())
+                hashes.append(own[again])
             taken = batch.select(["id", "key"]).take(pa.array(at, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(names, pa.binary())], names=["id", "key", "line"])
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(names, pa.binary()), pa.array(signed(np.concatenate(hashes)))], names=["id", "key", "line", "hash"]
+            )
+
+    found = rows.mapInArrow(suspects, "id long, key long, line binary, hash long")
+    return (found if held else found.join(twice, "hash", "left_semi")).select("id", "key", "line")
+
+
+def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int, max_bits: int) -> DataFrame:
+    """(id, key, dropped, keepers): for each row of ``keyed`` documents with repeated lines, their key names.
+
+    ``keepers`` are those whose first document (smallest id) this row is.
+    """
 
-    found = materialize(rows.mapInArrow(suspects, "id long, key long, line binary"), "lines")
+    found = materialize(suspected_lines(rows, min_chars, max_bits), "lines")
     repeated = found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter(F.col("n") >= max(min_docs, 2))
     repeated = materialize(repeated.select("line", "first"), "repeated-lines")
     return (
@@ -90,7 +104,7 @@ def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int, bits: int) ->
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-    min_chars: int = 1, min_docs: int = 10, keep_first: bool = False, bits: int = FILTER_BITS, carry: bool = False,
+    min_chars: int = 1, min_docs: int = 10, keep_first: bool = False, max_bits: int = filters.MAX_BITS, carry: bool = False,
 ) -> DataFrame:
     """(id, key, n_lines, n_dropped, kept): texts without the lines that at least ``min_docs`` documents hold.
 
@@ -102,7 +116,7 @@ def dedup_lines(
     rows = keyed(docs, id_col, text_col, *other_columns(docs, text_col, carry))
     if min_docs < 2:
         raise ValueError("min_docs starts at 2")
-    lines = repeated_lines(rows.select("id", "key", "text"), min_chars, min_docs, bits)
+    lines = repeated_lines(rows.select("id", "key", "text"), min_chars, min_docs, max_bits)
     joined = rows.join(lines.hint("shuffle_hash"), ["id", "key"], "left")
 
     def cut(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

@@ -103,15 +103,15 @@ WITH spoken AS (
 sized AS (
     SELECT *, length('<|im_start|><|im_sep|><|im_end|>') + 1 + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
         + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS size,
-        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, count(*) OVER (PARTITION BY conv_id) AS n
-    FROM spoken),
-summed AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) AS upto FROM sized)
+        row_number() OVER (PARTITION BY conv_id, own ORDER BY turn NULLS FIRST, role, text) AS pos, count(*) OVER (PARTITION BY conv_id, own) AS n
+    FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own FROM spoken)),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY conv_id, own ORDER BY pos) AS upto FROM sized)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
     coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
     sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum(upto) FILTER (role = 'assistant' OR pos = n)::BIGINT AS formatted_chars,
     count(*) FILTER (role = 'assistant' OR pos = n) AS n_examples
-FROM summed GROUP BY conv_id
+FROM summed GROUP BY conv_id, own
 """
 
 #: The draws are the first four groups of eight hexadecimal digits; list slices are from 1 and include their ends.

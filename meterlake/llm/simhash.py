@@ -1,9 +1,9 @@
 """SimHash near-dedup: exact comparison of fingerprints in tiles.
 
 Two fingerprints within ``radius`` bits agree on ``agree`` of any ``radius + agree`` blocks of bits, so all
-links lie within cells of equal blocks. A cell is compared in tiles ordered by population count, by numpy
-exclusive-or and bit counts; tile pairs whose counts differ by more than the radius are skipped. Large
-cells are split into pairs of parts. A task sends on only a spanning forest of the links it found, never
+links lie within cells of equal blocks. Cells are compared in tiles ordered by population count, by numpy
+exclusive-or and bit counts; tile pairs whose counts differ by more than the radius are skipped. Small cells
+share tiles; cells too large for a task are split into pairs of parts. A task sends on only a spanning forest of the links it found, never
 the pairs. Components come from star contraction on tables.
 """
 
@@ -25,7 +25,8 @@ SEED = 42
 SHINGLE = 4
 RADIUS = 4
 AGREE = 2
-TILE = 512
+#: Fingerprints in a tile: of one large cell, and of several small ones.
+TILE, SMALL_TILE = 512, 64
 #: Fingerprints in one comparison; a larger cell is split.
 PART = 8192
 
@@ -79,40 +80,49 @@ class Forest:
                 self.label = shorter
 
 
-def cell_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within one cell as a forest: the places of linked fingerprints and the place each is joined to."""
+def tile_links(cells: np.ndarray, fps: np.ndarray, radius: int, tile: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Links within cells as a forest: the places of linked fingerprints and the place each is joined to; and how many
+    pairs of tiles were compared and skipped.
+
+    The rows are put in the order of cell and population count and cut into tiles. Of the pairs of tiles that share a cell,
+    those whose counts in it differ beyond the radius are skipped; the others are compared by exclusive-or and bit counts.
+    """
     weight = np.bitwise_count(fps)
-    order = np.argsort(weight, kind="stable")
-    fps, weight = fps[order], weight[order].astype(np.int64)
-    forest, n = Forest(len(fps)), len(fps)
-    for a in range(0, n, TILE):
-        for b in range(a, n, TILE):
-            if weight[b] - weight[min(a + TILE, n) - 1] > radius:
+    order = np.lexsort((weight, cells))
+    cells, fps, weight = cells[order], fps[order], weight[order].astype(np.int64)
+    forest, n, compared, skipped = Forest(len(fps)), len(fps), 0, 0
+    for a in range(0, n, tile):
+        last = min(a + tile, n) - 1
+        for b in range(a, n, tile):
+            if b > a and cells[b] != cells[last]:
+                break
+            if b > a and weight[b] - weight[last] > radius:
+                # the cell's remaining rows are heavier still
+                skipped += (int(np.searchsorted(cells, cells[last], "right")) - 1 - b) // tile + 1
                 break
-            near = np.bitwise_count(fps[a : a + TILE, None] ^ fps[None, b : b + TILE]) <= radius
+            compared += 1
+            near = np.bitwise_count(fps[a : a + tile, None] ^ fps[None, b : b + tile]) <= radius
+            near &= cells[a : a + tile, None] == cells[None, b : b + tile]
             i, j = np.nonzero(near)
-            forest.join(i + a, j + b)
+            apart = i + a < j + b
+            if apart.any():
+                forest.join(i[apart] + a, j[apart] + b)
     linked = np.flatnonzero(forest.label != np.arange(n))
-    return order[linked], order[forest.label[linked]]
+    return order[linked], order[forest.label[linked]], compared, skipped
 
 
 def _compare(batches: Iterable[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell: small cells are compared side by side, larger ones in tiles."""
+    """Rows sorted by cell: cells smaller than a large tile share small tiles, larger ones are cut into large tiles."""
     fields = ["node", "root"]
 
     def links(cells: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
         sizes = np.diff(np.append(starts, len(cells)))
-        small = np.repeat(sizes <= 32, sizes)
-        for gap in range(1, min(32, int(sizes.max()))):
-            near = (cells[gap:] == cells[:-gap]) & small[gap:]
-            at = np.flatnonzero(near)
-            at = at[np.bitwise_count(fps[at] ^ fps[at + gap]) <= radius]
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(fps[at])), pa.array(signed(fps[at + gap]))], names=fields)
-        for start, size in zip(starts[sizes > 32].tolist(), sizes[sizes > 32].tolist()):
-            own = fps[start : start + size]
-            node, root = cell_links(own, radius)
+        small = np.repeat((sizes < TILE) & (sizes > 1), sizes)
+        parts = [(cells[small], fps[small], SMALL_TILE)]
+        parts += [(cells[a : a + n], fps[a : a + n], TILE) for a, n in zip(starts[sizes >= TILE].tolist(), sizes[sizes >= TILE].tolist())]
+        for own_cells, own, tile in parts:
+            node, root, _, _ = tile_links(own_cells, own, radius, tile)
             if len(node):
                 yield pa.RecordBatch.from_arrays([pa.array(signed(own[node])), pa.array(signed(own[root]))], names=fields)
 
@@ -201,7 +211,10 @@ def near_duplicates(
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of the documents without all but the first row of each group of near duplicates."""
+    """The rows of the documents without all but the first row of each group of near duplicates.
+
+    Of rows equal in id and text, whatever their other columns, one stays, and which one is not defined.
+    """
     found = near_duplicates(docs, id_col, text_col, **options)
     firsts = found.filter("id = component_id and key = component_key").select("id", "key").distinct()
     rows = keyed(docs, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).drop("text")

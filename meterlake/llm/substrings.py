@@ -3,7 +3,7 @@
 Every document is reference and probe. Its non-overlapping blocks of ``block`` words, at places that are
 multiples of ``block``, form the index; with ``window >= 2 * block - 1`` each repeated window of the earlier
 document contains one of them. All rolling windows of ``block`` words probe the index: first a Bloom filter
-of fixed size in the scan, then an exact grouping of the hits by hash and document. Around the anchors that
+in the scan, whose size follows the texts up to a bound, then an exact grouping of the hits by hash and document. Around the anchors that
 two documents share, hits are extended: the windows there are compared by 96-bit hashes, and adjacent equal
 windows join to maximal repeats.
 
@@ -27,7 +27,8 @@ from meterlake.llm.text import WORD_BYTES, Blob, Words, chunks, covered, keyed,
 from meterlake.sources.scratch import materialize
 
 WINDOW = 50
-FILTER_BITS = 1 << 26
+#: Bytes of a word with the space behind it, for an estimate of how many blocks the texts have.
+WORD_BYTES_ON_AVERAGE = 5
 #: Chunks that hold an anchor from which its windows are dealt to shares; decides where rows meet, not what is found.
 FREQUENT = 256
 SHARES = 64
@@ -47,18 +48,20 @@ class _Probe:
         self.offset = np.arange(len(self.runs)) - self.words.first[self.words.doc[: len(self.runs)]]
 
 
-def _index_filter(rows: DataFrame, block: int, bits: int) -> filters.Filter:
+def _index_filter(rows: DataFrame, block: int, max_bits: int) -> filters.Filter:
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
     def blocks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, texts in chunks(batch):
             probe = _Probe(texts, block)
             yield probe.runs[probe.whole & (probe.offset % block == 0)]
 
-    return filters.build(rows.select("text"), blocks, bits, again=False)[0]
+    return filters.build(rows.select("text"), blocks, filters.bits_for(size // (block * WORD_BYTES_ON_AVERAGE), max_bits))
 
 
-def shared_anchors(rows: DataFrame, block: int, bits: int) -> DataFrame:
+def shared_anchors(rows: DataFrame, block: int, max_bits: int) -> DataFrame:
     """(anchor, n): hashes of index blocks that rolling windows of two documents or more hold, and in how many chunks."""
-    index = rows.sparkSession.sparkContext.broadcast(_index_filter(rows, block, bits))
+    index = rows.sparkSession.sparkContext.broadcast(_index_filter(rows, block, max_bits))
 
     def probe(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         found = _Probe(texts, block)
@@ -94,16 +97,14 @@ def later_than_first(found: DataFrame) -> DataFrame:
     return dealt.filter("later").select(*columns).union(beaten.select(*columns))
 
 
-def repeated_windows(rows: DataFrame, window: int, block: int, bits: int, frequent_from: int) -> DataFrame:
+def repeated_windows(rows: DataFrame, window: int, block: int, max_bits: int, frequent_from: int) -> DataFrame:
     """(id, key, start, run): runs of windows, by the place of their first word, that a smaller id holds as well."""
-
-    def column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield batch.column("anchor").to_numpy().view(np.uint64)
-
-    anchors = materialize(shared_anchors(rows, block, bits), "anchors")
-    sc = rows.sparkSession.sparkContext
-    shared: Broadcast = sc.broadcast(filters.build(anchors, column, bits, again=False)[0])
-    frequent: Broadcast = sc.broadcast(filters.build(anchors.filter(F.col("n") >= frequent_from), column, 1 << 18, again=False)[0])
+    anchors = materialize(shared_anchors(rows, block, max_bits), "anchors")
+    sc, column = rows.sparkSession.sparkContext, filters.hash_column("anchor")
+    often = anchors.filter(F.col("n") >= frequent_from)
+    n_shared, n_often = anchors.count(), often.count()
+    shared: Broadcast = sc.broadcast(filters.build(anchors, column, filters.bits_for(n_shared, max_bits)))
+    frequent: Broadcast = sc.broadcast(filters.build(often, column, filters.bits_for(n_often, max_bits)))
 
     def candidates(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         found = _Probe(texts, block)
@@ -155,7 +156,7 @@ def repeated_windows(rows: DataFrame, window: int, block: int, bits: int, freque
 
 
 def dedup_substrings(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, bits: int = FILTER_BITS,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, max_bits: int = filters.MAX_BITS,
     frequent: int = FREQUENT,
 ) -> DataFrame:
     """(id, key, n_words, n_removed, kept): texts without the words inside windows that a smaller id holds.
@@ -169,7 +170,7 @@ def dedup_substrings(
     block = (window + 1) // 2
     if window < 3:
         raise ValueError("windows start at 3 words")
-    runs = repeated_windows(rows, window, block, bits, frequent).groupBy("id", "key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
+    runs = repeated_windows(rows, window, block, max_bits, frequent).groupBy("id", "key").agg(F.collect_list(F.struct("start", "run")).alias("runs"))
     joined = rows.join(runs.hint("shuffle_hash"), ["id", "key"], "left").select("id", "key", "text", "runs.start", "runs.run")
 
     def cut(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

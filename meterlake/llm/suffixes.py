@@ -7,9 +7,10 @@ and the suffixes that begin with one anchor are one bucket. A task sorts the buc
 computed beforehand. Common prefixes to the right of an anchor and, by the same sort of the reversed texts, to its
 left give for every string around it the earliest equal one. Memory is bounded by the block.
 
-Occurrences with the same surroundings are settled in the scan and on arrival, so a passage found in a third of
-all texts costs one row for each batch. The occurrences of an anchor that is frequent with ever other
-surroundings are dealt to many blocks; strings that are first in their block are then compared between blocks.
+Occurrences with the same surroundings (by 128 bits of hashes) are settled in the scan and on arrival, so a passage found
+in a third of all texts costs one row for each batch, and only surroundings that differ are sorted. The occurrences
+of an anchor that is frequent with ever other surroundings are dealt to as many shares as they fill blocks;
+strings that are first in their share are then compared between shares.
 """
 
 from __future__ import annotations
@@ -28,10 +29,8 @@ from meterlake.sources.scratch import materialize
 
 SIZE = 100
 GRAM = 20
-FILTER_BITS = 1 << 25
-#: Occurrences in a block on average, and those of one anchor from which it is dealt to many blocks.
+#: Occurrences in a block on average, and those of one anchor from which it is dealt to as many shares as it fills blocks.
 BLOCK, FREQUENT = 10_000, 20_000
-SHARES = 64
 _CHUNK = 1 << 19
 _HELD = 100_000
 
@@ -223,8 +222,8 @@ def repeated_anchors(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("text").mapInArrow(per_chunk(run, _CHUNK), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-_OCCURRENCE = "block long, anchor long, around long, id long, key long, place long, n_left int, text binary, frequent boolean, stop long"
-_OCCURRENCE_NAMES = ["block", "anchor", "around", "id", "key", "place", "n_left", "text", "frequent", "stop"]
+_OCCURRENCE = "anchor long, around long, id long, key long, place long, n_left int, text binary, stop long"
+_OCCURRENCE_NAMES = ["anchor", "around", "id", "key", "place", "n_left", "text", "stop"]
 
 
 def merged_ranges(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,8 +259,8 @@ class _Occurrences:
         self.parts.append((hashes, around, ids, keys, places - blob.starts[text], places - low, high - low, low, blob.bytes))
         self.count += len(places)
 
-    def batch(self, frequent: filters.Filter, blocks: int) -> pa.RecordBatch:
-        """First occurrences with their text; the others as ranges that are settled, with a null text."""
+    def batch(self) -> pa.RecordBatch:
+        """First occurrences with their text; the others as ranges that are settled, without anchor and text."""
         hashes, around, ids, keys, place, n_left, length = (np.concatenate([p[k] for p in self.parts]) for k in range(7))
         source = np.repeat(np.arange(len(self.parts)), [len(p[0]) for p in self.parts])
         low = np.concatenate([p[7] for p in self.parts])
@@ -275,35 +274,46 @@ class _Occurrences:
         one, gone = order[once], order[later]
         docs, of = np.unique(np.stack([ids[gone], keys[gone]], 1), axis=0, return_inverse=True)
         doc, start, stop = merged_ranges(of.ravel(), place[gone] - n_left[gone], place[gone] - n_left[gone] + length[gone])
-        often = frequent.holds(hashes[one])
-        spread = np.where(often, mix(hashes[one] + around[one] % np.uint64(SHARES)), mix(hashes[one]))
         texts = [self.parts[s][8][a : a + n] for s, a, n in zip(source[one].tolist(), low[one].tolist(), length[one].tolist())]
         zeros, n = np.zeros(len(doc), np.int64), len(one)
-        block = np.concatenate([spread % np.uint64(blocks), mix(doc.astype(np.uint64) + start.astype(np.uint64)) % np.uint64(blocks)]).astype(np.int64)
+        ranges = np.concatenate([np.zeros(n, bool), np.ones(len(doc), bool)])
         columns = [
-            pa.array(block), pa.array(np.concatenate([signed(hashes[one]), zeros])), pa.array(np.concatenate([signed(around[one]), zeros])),
+            pa.array(np.concatenate([signed(hashes[one]), zeros]), mask=ranges), pa.array(np.concatenate([signed(around[one]), zeros]), mask=ranges),
             pa.array(np.concatenate([ids[one], docs[doc, 0] if len(doc) else zeros])), pa.array(np.concatenate([keys[one], docs[doc, 1] if len(doc) else zeros])),
             pa.array(np.concatenate([place[one], start])), pa.array(np.concatenate([n_left[one], zeros]).astype(np.int32)),
-            pa.array(texts + [None] * len(doc), pa.binary()), pa.array(np.concatenate([often, zeros.astype(bool)])), pa.array(np.concatenate([np.zeros(n, np.int64), stop])),
+            pa.array(texts + [None] * len(doc), pa.binary()), pa.array(np.concatenate([np.zeros(n, np.int64), stop])),
         ]
         self.parts, self.count = [], 0
         return pa.RecordBatch.from_arrays(columns, names=_OCCURRENCE_NAMES)
 
 
-def occurrences(rows: DataFrame, repeated, frequent, blocks: int, size: int) -> DataFrame:
+def occurrences(rows: DataFrame, repeated, size: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Occurrences()
         for batch in batches:
             for part, texts in chunks(batch, _CHUNK):
                 held.add(Blob(texts), part, repeated.value, size)
                 if held.count > _HELD:
-                    yield held.batch(frequent.value, blocks)
+                    yield held.batch()
         if held.parts:
-            yield held.batch(frequent.value, blocks)
+            yield held.batch()
 
     return rows.mapInArrow(run, _OCCURRENCE)
 
 
+def dealt(found: DataFrame, frequent: DataFrame, block: int, blocks: int) -> DataFrame:
+    """Occurrences with ``block`` and ``frequent``: buckets are dealt to blocks whole, but those of frequent anchors in shares.
+
+    A frequent anchor (anchor, n) gets a share for each ``block`` of its occurrences, by their surroundings; so whatever
+    its number, no share is larger than a block on average.
+    """
+    n = F.col("n")
+    share = F.when(n.isNotNull(), F.pmod("around", F.ceil(n / block))).otherwise(F.lit(0).cast("long"))
+    place = F.when(F.col("text").isNull(), F.xxhash64("id", "place")).otherwise(F.xxhash64("anchor", share))
+    joined = found.join(frequent, "anchor", "left")
+    return joined.select(*found.columns, n.isNotNull().alias("frequent"), F.pmod(place, F.lit(blocks).cast("long")).alias("block"))
+
+
 # the blocks
 
 _RESULT = "first long, second int, id long, key long, start long, stop long, open boolean"
@@ -369,19 +379,19 @@ def work_on_block(group: pa.Table, size: int) -> pa.Table:
     return _result(*found)
 
 
-def removed_ranges(rows: DataFrame, size: int, bits: int, block: int, frequent_from: int) -> DataFrame:
+def removed_ranges(rows: DataFrame, size: int, max_bits: int, block: int, frequent_from: int) -> DataFrame:
     """(id, key, start, stop): bytes inside strings of ``size`` bytes that start earlier as well."""
     sc = rows.sparkSession.sparkContext
     known = materialize(repeated_anchors(rows, size), "anchors")
-
-    def column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield batch.column("anchor").to_numpy().view(np.uint64)
-
-    repeated = sc.broadcast(filters.build(known, column, bits, again=False)[0])
-    frequent = sc.broadcast(filters.build(known.filter(F.col("n") >= frequent_from), column, 1 << 18, again=False)[0])
-    total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = occurrences(rows, repeated, frequent, int(total // block) + 1, size)
-    worked = materialize(found.groupBy("block").applyInArrow(lambda group: work_on_block(group, size), _RESULT), "ranges")
+    distinct, total = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    repeated = sc.broadcast(filters.build(known, filters.hash_column("anchor"), filters.bits_for(distinct, max_bits)))
+    frequent = materialize(known.filter(F.col("n") >= frequent_from), "frequent-anchors")
+    found = occurrences(rows, repeated, size)
+    if not filters.fits(distinct, max_bits):
+        # the filter lets more pass than it should: what only seems repeated goes before it is dealt
+        found = found.join(known.select("anchor", F.lit(True).alias("repeats")), "anchor", "left").filter("repeats or text is null").drop("repeats")
+    blocks = dealt(found, frequent, block, int(total // block) + 1)
+    worked = materialize(blocks.groupBy("block").applyInArrow(lambda group: work_on_block(group, size), _RESULT), "ranges")
     owner = F.min(F.struct("id", "start")).over(Window.partitionBy("first", "second"))
     between = worked.filter("open").withColumn("owner", owner).filter(F.struct("id", "start") > F.col("owner"))
     columns = ("id", "key", "start", "stop")
@@ -390,7 +400,7 @@ def removed_ranges(rows: DataFrame, size: int, bits: int, block: int, frequent_f
 
 def dedup_bytes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-    size: int = SIZE, bits: int = FILTER_BITS, block: int = BLOCK, frequent: int = FREQUENT,
+    size: int = SIZE, max_bits: int = filters.MAX_BITS, block: int = BLOCK, frequent: int = FREQUENT,
 ) -> DataFrame:
     """(id, key, n_bytes, n_removed, spans, kept): texts without the bytes inside strings that start earlier as well.
 
@@ -402,7 +412,7 @@ def dedup_bytes(
     if size < 2 * GRAM:
         raise ValueError(f"strings start at {2 * GRAM} bytes")
     rows = keyed(docs, id_col, text_col)
-    ranges = removed_ranges(rows, size, bits, block, frequent).groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    ranges = removed_ranges(rows, size, max_bits, block, frequent).groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     joined = rows.join(ranges.hint("shuffle_hash"), ["id", "key"], "left").select("id", "key", "text", "ranges.start", "ranges.stop")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

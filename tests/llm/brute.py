@@ -128,9 +128,9 @@ def simhash(docs, size=4, radius=4):
 
 def chat(rows):
     spoken = defaultdict(list)
-    for conv, turn, role, text in rows:
-        spoken[conv].append((turn, role or "", text or ""))
-    for conv, turns in spoken.items():
+    for k, (conv, turn, role, text) in enumerate(rows):
+        spoken[(conv, k if conv is None else None)].append((turn, role or "", text or ""))
+    for (conv, _), turns in spoken.items():
         turns.sort()
         said = "".join(t for _, r, t in turns if r == "assistant")
         yield conv, len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(said), sha(said)
@@ -196,3 +196,61 @@ def divergence(docs, min_docs=30, top=50):
                 values.sort(key=lambda v: (-v[0], v[1].encode()))
                 for rank, (value, item) in enumerate(values if part == "pair" else values[:top], 1):
                     yield lang, source, part, item, value, rank
+
+
+LETTERS = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
+#: The first code point of each range, and the number of the script it belongs to.
+SCRIPTS = [
+    (0x80, 0), (0xC0, 1), (0x280, 11), (0x380, 2), (0x400, 3), (0x500, 11), (0x5C0, 4), (0x600, 5), (0x700, 11), (0x900, 6), (0xE00, 7),
+    (0xF00, 11), (0x3000, 9), (0x3040, 8), (0x3100, 9), (0xA000, 10), (0xE000, 11),
+]
+
+
+def script(char):
+    return 1 if ord(char) < 0x80 else max((at, s) for at, s in SCRIPTS if at <= ord(char))[1]
+
+
+def buckets(word):
+    """The trigram bucket of each byte of a word between two spaces."""
+    data = b" " + word.encode() + b" "
+    return [(int.from_bytes(data[k - 1 : k + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for k in range(1, len(data) - 1)]
+
+
+def language_id(docs, penalty=12.0):
+    """docs: (doc_id, text, lang). (doc_id, lang_pred, score), learned from texts whose crc32(doc_id) mod 4 is not 2."""
+    from math import log
+    from zlib import crc32
+
+    grams, scripts = defaultdict(Counter), defaultdict(Counter)
+    for i, text, lang in docs:
+        if lang is not None and text is not None and crc32(str(i).encode()) % 4 != 2:
+            words = LETTERS.findall(text.lower())
+            grams[lang].update(b for w in words for b in buckets(w))
+            scripts[lang].update(max(map(script, w)) for w in words)
+    languages = sorted(grams)
+    total = {a: sum(grams[a].values()) for a in languages}
+    uses = {s: [a for a in languages if scripts[a][s] and scripts[a][s] >= 0.01 * sum(scripts[a].values())] for s in range(12)}
+    for i, text, _ in docs:
+        words = LETTERS.findall((text or "").lower())
+        if not any(map(str.isalpha, text or "")) or not words:
+            yield i, "und", 0.0
+            continue
+        best, back = None, []
+        for word in words:
+            allowed = uses[max(map(script, word))] or languages
+            own = buckets(word)
+            score = {a: sum(log((grams[a][b] + 0.1) / (total[a] + 0.1 * 65536)) for b in own) - (0 if a in allowed else 1e4) for a in languages}
+            if best is None:
+                best = score
+                continue
+            top = max(languages, key=lambda a: best[a])
+            back.append({a: a if best[a] >= best[top] - penalty else top for a in languages})
+            best = {a: max(best[a], best[top] - penalty) + score[a] for a in languages}
+        path = [max(languages, key=lambda a: best[a])]
+        for step in reversed(back):
+            path.append(step[path[-1]])
+        bytes_in = Counter()
+        for word, lang in zip(words, reversed(path)):
+            bytes_in[lang] += len(word.encode())
+        main = min(languages, key=lambda a: (-bytes_in[a], a))
+        yield i, main, bytes_in[main] / sum(bytes_in.values())

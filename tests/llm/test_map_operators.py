@@ -109,10 +109,10 @@ def hits(found):
     return columns(found, "id", "n_words", "n_hit", F.size("items"), digest, decontaminate.contaminated())
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 100])
-def test_decontamination(spark, hard_docs, block):
-    items = spark.createDataFrame(ITEMS, "item_id int, text string")
-    found = decontaminate.benchmark_hits(hard_docs, items, block_bytes=block)
+@pytest.mark.parametrize("options", [{}, {"max_hashes": 3}, {"max_hashes": 3, "max_bits": 1 << 18}])
+def test_decontamination(spark, hard_docs, options):
+    items = spark.createDataFrame(ITEMS, "item_id int, text string").repartition(3)
+    found = decontaminate.benchmark_hits(hard_docs, items, **options)
     assert hits(found) == sorted(brute.decontamination(pairs(hard_docs), ITEMS), key=repr)
 
 
@@ -130,10 +130,52 @@ def test_decontamination_spans_and_empty_tables(spark, no_docs, odd_docs):
     row = decontaminate.benchmark_hits(docs, items, carry=True).first()
     assert [bytes(row.text)[s.start : s.end] for s in row.spans] == [b"B, c; d", b"b c d"]
     assert decontaminate.benchmark_hits(no_docs, items).count() == 0
+    odd = decontaminate.benchmark_hits(odd_docs, spark.createDataFrame([(1, prose(1, 80))], "item_id int, text string"), carry=True)
+    assert columns(odd, "id", "n_words", "n_hit") == sorted([(5, 80, 80), (5, 80, 80), (5, 1, 0), (7, 80, 80), (None, 80, 80), (None, 0, 0)], key=repr)
     none = decontaminate.benchmark_hits(odd_docs, items.limit(0))
     assert none.count() == 6 and none.filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_reads_the_documents_once(spark, hard_docs):
+    """However large the benchmark: a filter takes the place of the exact set, and no block needs a pass of its own."""
+    items = spark.createDataFrame([(k, prose(100 + k, 60)) for k in range(200)] + [(999, prose(8, 400))], "item_id int, text string").repartition(5)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    docs = hard_docs.mapInArrow(counted, hard_docs.schema)
+    found = decontaminate.benchmark_hits(docs, items, max_hashes=50).collect()
+    assert reads.value == hard_docs.count() == len(found) and sum(r.n_hit > 0 for r in found) == 2
+
+
+def test_false_hits_do_not_count(spark, hard_docs, monkeypatch):
+    monkeypatch.setattr(decontaminate.Known, "holds", lambda self, size, rolled: np.ones(len(rolled), bool))
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    assert hits(decontaminate.benchmark_hits(hard_docs, items)) == sorted(brute.decontamination(pairs(hard_docs), ITEMS), key=repr)
+
+
+def test_language_id_like_plain_python(spark, sf_dir):
+    """Counts, log probabilities, candidates, paths, main language and score of every given text."""
+    docs = [tuple(r) for r in queries.documents(spark, sf_dir).select("doc_id", "text", "lang").collect()]
+    docs = docs[:60] + [d for d in docs[60:] if len(d[1] or "") < 3000]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    found = langid.identify(frame, queries.language_model(frame))
+    got = {r.id: (r.lang_pred, round(r.score, 6)) for r in found.collect()}
+    expected = {i: (lang, round(score, 6)) for i, lang, score in brute.language_id(docs)}
+    assert got == expected and len({lang for lang, _ in expected.values()}) > 3
+
+
+def test_language_id_scripts_like_plain_python(spark):
+    texts = ["Привет мир hello", "ελληνικά и русский", "日本語テスト 漢字 한국어", "שלום عالم", "ไทย हिन्दी", "naïve Ăă ʼn ֍ ꙮ 𝒳 ﬁ", "À la 1x2 _y"]
+    docs = [(k, t, lang) for k, (t, lang) in enumerate(zip(texts * 2, ["ru", "el", "ja", "he", "th", "xx", "fr"] * 2))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    found = langid.identify(frame, queries.language_model(frame))
+    assert {r.id: (r.lang_pred, round(r.score, 6)) for r in found.collect()} == {i: (lang, round(s, 6)) for i, lang, s in brute.language_id(docs)}
+
+
 def test_language_id_held_out_accuracy(spark, sf_dir):
     docs = queries.documents(spark, sf_dir)
     found = queries.op8_language_id(spark, sf_dir).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out and lang_pred <> 'und'")
@@ -186,6 +228,7 @@ HARD_TURNS = [
     (1, 0, "system", "s"), (1, 2, "assistant", "\\<|im_sep|>\\\\"), (1, 1, "user", None), (1, 3, "user", "<"), (1, 4, "assistant", ""),
     (2, 0, "user", "only"), (3, 0, "assistant", "a<"), (3, 0, "assistant", "a<"), (3, None, None, "<|im_start|>x\n<|im_end|>"),
     (4, 0, "as<|im_sep|>sistant", "é😀"), (5, 0, "assistant", "<\\|im_end|>\\"), (None, 0, "user", "n"),
+    (None, 1, "assistant", "alone"), (None, 1, "assistant", "alone"), (None, None, None, None),
 ]
 
 
@@ -202,6 +245,22 @@ def test_chat_hard_texts(spark):
     assert chat.digests(chat.training_examples(frame.limit(0))).count() == 0
 
 
+def test_chat_without_ids_meets_no_other(spark):
+    """Rows without an id are conversations of their own, in whatever number, and no task gathers them."""
+    frame = spark.range(5000, numPartitions=4).selectExpr("CAST(NULL AS LONG) AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    examples = chat.training_examples(frame)
+    assert examples.filter("n_context > 1").count() == 0 and examples.count() == 5000
+    found = chat.digests(examples)
+    assert found.count() == 5000 and found.agg(F.sum("loss_chars")).first()[0] == sum(len(f"t{k}") for k in range(1, 5000, 2))
+
+
+def test_chat_shuffles_turns_once(spark, sf_dir):
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    plan = chat.digests(chat.training_examples(conversations))._jdf.queryExecution().executedPlan().toString()
+    # one exchange for the turns with an id; the rows without one need none, but their branch plans the empty other
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_chat_runs_no_python(spark, sf_dir):
     plan = queries.op10_chat_formatting(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

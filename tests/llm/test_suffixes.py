@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from meterlake.llm import queries, suffixes
 from meterlake.llm.text import LAST_ID, Blob
 
-SMALL = {"bits": 1 << 18}
-
-
 def removed(frame):
     return sorted(tuple(r) for r in frame.select("id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect())
 
@@ -49,9 +46,9 @@ def test_anchors_are_in_every_string():
     assert len(places) < 0.6 * len(blob.bytes)
 
 
-@pytest.mark.parametrize("options", [{}, {"frequent": 2}, {"block": 50}, {"frequent": 3, "block": 30}])
+@pytest.mark.parametrize("options", [{}, {"frequent": 2}, {"block": 50}, {"frequent": 3, "block": 30}, {"max_bits": 1 << 18, "frequent": 2, "block": 7}])
 def test_bytes(hard_docs, options):
-    found = suffixes.dedup_bytes(hard_docs, **SMALL, **options)
+    found = suffixes.dedup_bytes(hard_docs, **options)
     expected = sorted(brute.byte_dedup(pairs(hard_docs)))
     assert removed(found) == expected
     assert sum(r[2] > 0 for r in expected) > 8
@@ -61,14 +58,14 @@ def test_bytes(hard_docs, options):
 def test_other_sizes(spark, size):
     texts = [prose(k % 5, 20 + k) + "x" * (7 * k) + prose(40 + k // 4, 12) + "\0" * k for k in range(30)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    found = suffixes.dedup_bytes(docs, size=size, **SMALL)
+    found = suffixes.dedup_bytes(docs, size=size)
     assert removed(found) == sorted(brute.byte_dedup(pairs(docs), size))
 
 
 def test_spans(spark):
     a, b = prose(1, 30).replace("é", "e"), prose(2, 30).replace("é", "e")
     docs = spark.createDataFrame([(1, a), (2, f"{b}{a}")], "doc_id long, text string")
-    rows = {r.id: r for r in suffixes.dedup_bytes(docs, **SMALL).collect()}
+    rows = {r.id: r for r in suffixes.dedup_bytes(docs).collect()}
     assert rows[1].spans == [] and [(s.start, s.end) for s in rows[2].spans] == [(len(b), len(b) + len(a))]
     assert bytes(rows[2].kept).decode() == b
 
@@ -81,6 +78,29 @@ def test_given_texts(spark, sf_dir):
 
 
 def test_odd_rows(odd_docs, no_docs):
-    got = sorted((r.id, r.n_bytes > 0, r.n_removed == r.n_bytes) for r in suffixes.dedup_bytes(odd_docs, **SMALL).collect())
+    got = sorted((r.id, r.n_bytes > 0, r.n_removed == r.n_bytes) for r in suffixes.dedup_bytes(odd_docs).collect())
     assert got == [(5, True, False), (5, True, False), (5, True, False), (7, True, True), (LAST_ID, False, True), (LAST_ID, True, True)]
-    assert suffixes.dedup_bytes(no_docs, **SMALL).count() == 0
+    assert suffixes.dedup_bytes(no_docs).count() == 0
+
+
+def test_an_anchor_with_ever_other_surroundings_is_dealt_to_bounded_blocks(spark):
+    """One gram stands in every text, each time between other bytes: its shares are as many as it fills blocks."""
+    gram = "QQQQQQQQQQQQQQQQQQQQ"
+    for n in (600, 6000):
+        docs = spark.range(n, numPartitions=4).selectExpr("id AS doc_id", f"concat(sha2(CAST(id AS STRING), 256), '{gram}', sha2(CAST(-id AS STRING), 256)) AS text")
+        rows = suffixes.keyed(docs, "doc_id", "text")
+        places, hashes, _ = suffixes.anchors(Blob([("a" * 90 + gram + "b" * 90).encode()]), 100)
+        anchor = int(suffixes.grams(gram.encode()).view(np.int64)[0])
+        found = spark.range(n, numPartitions=4).selectExpr(
+            f"CAST({anchor} AS LONG) AS anchor", "xxhash64(id) AS around", "id", "id AS key", "0L AS place", "0 AS n_left", f"CAST('{gram}' AS BINARY) AS text", "0L AS stop"
+        )
+        frequent = spark.createDataFrame([(anchor, n)], "anchor long, n long")
+        sizes = [r["count"] for r in suffixes.dealt(found, frequent, 100, n // 100 + 1).groupBy("block").count().collect()]
+        assert max(sizes) <= 6 * 100 and sum(sizes) == n
+        assert rows.count() == n and len(places) == len(hashes)
+
+
+def test_settled_ranges_are_dealt_by_their_document(spark):
+    found = spark.range(1000).selectExpr("CAST(NULL AS LONG) AS anchor", "CAST(NULL AS LONG) AS around", "id", "id AS key", "id AS place", "0 AS n_left", "CAST(NULL AS BINARY) AS text", "id + 100 AS stop")
+    dealt = suffixes.dealt(found, spark.createDataFrame([(0, 10**6)], "anchor long, n long"), 100, 20)
+    assert dealt.filter("frequent").count() == 0 and max(r["count"] for r in dealt.groupBy("block").count().collect()) < 120
