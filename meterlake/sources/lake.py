@@ -221,8 +221,8 @@ class Lake:
 
     def _drop_old_versions(self, table: Table, current: str) -> None:
         """Drop the versions before the last replaced ones, and what failed saves before them have left."""
-        listed = self.spark.catalog.listTables(self.config.versions(table.layer))
-        older = sorted(t.name for t in listed if t.name.rpartition("__")[0] == table.name and t.name < current)
+        listed = self.spark.sql(f"SHOW TABLES IN {self.config.versions(table.layer)} LIKE '{table.name}__*'").filter("NOT isTemporary")
+        older = sorted(r.tableName for r in listed.collect() if r.tableName.rpartition("__")[0] == table.name and r.tableName < current)
         path = self.config.location(table.layer, table.name)
         for version in older[: max(len(older) - self.config.kept_versions, 0)]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.config.versions(table.layer)}.{version}")
