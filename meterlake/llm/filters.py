@@ -34,9 +34,9 @@ _SCHEMA = "part long, segment int, bits binary"
 _FIELDS = pa.schema([("part", pa.int64()), ("segment", pa.int32()), ("bits", pa.binary())])
 
 
-def bits_for(n: int, most: int = MAX_BITS) -> int:
-    """A power of two of at least ``BITS_PER_KEY`` bits for each of n keys, within the bounds."""
-    return min(max(1 << (BITS_PER_KEY * max(n, 1) - 1).bit_length(), MIN_BITS), max(most, MIN_BITS))
+def bits_for(n: int, most: int = MAX_BITS, per_key: int = BITS_PER_KEY) -> int:
+    """A power of two of at least ``per_key`` bits for each of n keys, within the bounds."""
+    return min(max(1 << (per_key * max(n, 1) - 1).bit_length(), MIN_BITS), max(most, MIN_BITS))
 
 
 def fits(n: int, most: int = MAX_BITS) -> bool:

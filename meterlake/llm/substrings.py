@@ -27,6 +27,8 @@ from meterlake.llm.text import WORD_BYTES, Blob, Words, chunks, covered, keyed,
 from meterlake.sources.scratch import materialize
 
 WINDOW = 50
+#: Bits for each shared anchor in the filter for the last pass, where one false anchor would send on ``block`` windows around it.
+ANCHOR_BITS = 64
 #: Bytes of a word with the space behind it, for an estimate of how many blocks the texts have.
 WORD_BYTES_ON_AVERAGE = 5
 #: Chunks that hold an anchor from which its windows are dealt to shares; decides where rows meet, not what is found.
@@ -103,7 +105,7 @@ def repeated_windows(rows: DataFrame, window: int, block: int, max_bits: int, fr
     sc, column = rows.sparkSession.sparkContext, filters.hash_column("anchor")
     often = anchors.filter(F.col("n") >= frequent_from)
     n_shared, n_often = anchors.count(), often.count()
-    shared: Broadcast = sc.broadcast(filters.build(anchors, column, filters.bits_for(n_shared, max_bits)))
+    shared: Broadcast = sc.broadcast(filters.build(anchors, column, filters.bits_for(n_shared, max_bits, ANCHOR_BITS)))
     frequent: Broadcast = sc.broadcast(filters.build(often, column, filters.bits_for(n_often, max_bits)))
 
     def candidates(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
