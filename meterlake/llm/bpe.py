@@ -196,7 +196,8 @@ class Encoder:
 def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): the token ids of each whole text, as the tokenizers library gives them without added tokens.
 
-    Special tokens written out in a text become their ids. Null and empty texts have no ids. Rows come one for one.
+    Special tokens written out in a text become their ids. Null and empty texts have no ids; bytes that are not UTF-8 count
+    as U+FFFD. Rows come one for one.
     """
     held = shared_vocabulary(docs.sparkSession.sparkContext, tokenizer_file)
 
@@ -204,7 +205,7 @@ def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
         encoder = Encoder(held.value)
         for batch in batches:
             for part, texts in chunks(batch):
-                packed = encoder.encode([t.decode() for t in texts])
+                packed = encoder.encode([t.decode("utf-8", "replace") for t in texts])
                 offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), ids], names=["id", "ids"])
@@ -221,11 +222,23 @@ def decode(encoded: DataFrame, tokenizer_file: str, id_col: str = "id", ids_col:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = held.value
+        known = np.zeros(max(spelled) + 1, bool)
+        known[list(spelled)] = True
+        table = pa.array([spelled.get(i) for i in range(len(known))], pa.binary())
         for batch in batches:
-            texts = []
-            for k in range(batch.num_rows):
-                ids = batch.column("ids")[k].values
-                texts.append(b"".join(map(spelled.__getitem__, ids.to_numpy().tolist())).decode("utf-8", "replace") if ids is not None else "")
+            column = batch.column("ids")
+            ids, cuts = column.values, column.offsets.to_numpy()
+            ids = ids.slice(cuts[0], cuts[-1] - cuts[0])
+            places = ids.to_numpy()
+            strange = (places < 0) | (places >= len(known))
+            strange[~strange] = ~known[places[~strange]]
+            if strange.any():
+                raise KeyError(int(places[strange][0]))
+            # the spellings side by side; a text is the bytes between the offsets of its first and last id
+            side = table.take(ids)
+            ends = np.frombuffer(side.buffers()[1], np.int32)[side.offset : side.offset + len(side) + 1]
+            data, at = memoryview(side.buffers()[2] or b""), ends[cuts - cuts[0]].tolist()
+            texts = ["" if null else str(data[a:b], "utf-8", "replace") for a, b, null in zip(at, at[1:], column.is_null().to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))

@@ -60,6 +60,18 @@ def test_bpe_decodes_broken_bytes(spark):
     assert columns(bpe.decode(frame, FILE), "id", "text") == [(1, "�a"), (2, ""), (3, "")]
 
 
+def test_bpe_of_bytes_that_are_no_text(spark):
+    docs = spark.createDataFrame([(1, b"caf\xe9 \xff"), (2, b"")], "doc_id long, text binary")
+    both = bpe.decode(bpe.encode(docs, FILE), FILE)
+    assert columns(both, "id", "text") == [(1, "caf\ufffd \ufffd"), (2, "")]
+
+
+def test_bpe_refuses_unknown_ids(spark):
+    for strange in (10**6, -1):
+        with pytest.raises(Exception, match="KeyError"):
+            bpe.decode(spark.createDataFrame([(1, [1, strange])], "id long, ids array<int>"), FILE).collect()
+
+
 def test_bpe_odd_rows(odd_docs, no_docs):
     assert bpe.encode(odd_docs, FILE).count() == 6
     assert bpe.encode(no_docs, FILE).count() == 0
