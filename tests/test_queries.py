@@ -10,7 +10,7 @@ from meterlake.harness.oracles import ORACLES
 from meterlake.harness.queries import QUERIES
 
 NO_SQL = {
-    "tile_8_segments", "segment_consumption", "ml_silhouette_sweep", "ml_segments", "ml_segment_curves",
+    "tile_8_segments", "view_tile_8_segments", "segment_consumption", "ml_silhouette_sweep", "ml_segments", "ml_segment_curves",
     "ml_forecast", "ml_forecast_metrics", "ml_feature_importance",
 }
 
