@@ -320,10 +320,10 @@ def test_an_unsound_forecast_is_found_out(spark, sf_dir):
 def test_another_session_reads_the_tiles_by_name(spark, sf_dir):
     lake = queries._built_lake(spark, sf_dir)
     stranger = spark.newSession()
-    for name, (comment, _) in tiles.TILES.items():
+    for name, tile in tiles.TILES.items():
         full = lake.config.table("gold", name)
         assert stranger.table(full).count() > 0 or name == "tile_3_detail_category"  # few homes in the smallest tables
-        assert stranger.catalog.getTable(full).description == comment
+        assert stranger.catalog.getTable(full).description == tile.comment
     functions = {
         "tile_2_trend": dashboard.demand_trend(lake.read(t.GOLD_DAILY_TOTALS)), "tile_4_tariff": dashboard.tariff_comparison(lake.read(t.GOLD_GROUP_PROFILE)),
         "tile_6_season_effects": dashboard.season_effects(lake.read(t.GOLD_DAILY_TOTALS)), "tile_8_segments": dashboard.segment_sizes(lake.read(t.GOLD_SEGMENTS)),
@@ -341,8 +341,8 @@ def test_another_session_reads_the_tiles_by_name(spark, sf_dir):
 
 def test_tiles_follow_the_next_save(spark, lake):
     lake.save(loads(spark, 2), t.GOLD_LOAD_PROFILE)
-    name, (comment, sql) = "tile_7_load_curve", tiles.TILES["tile_7_load_curve"]
-    lake.define_view(name, sql, comment)
+    name, tile = "tile_7_load_curve", tiles.TILES["tile_7_load_curve"]
+    lake.define_view(name, tile.sql(), tile.comment)
     lake.save(loads(spark, 5), t.GOLD_LOAD_PROFILE)
     assert spark.table(lake.config.table("gold", name)).count() == 5
     assert name not in [table.name for table in lake.saved()]
