@@ -155,15 +155,14 @@ def benchmark_hits(
     item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW, max_hashes: int = MAX_HASHES,
     max_bits: int = filters.MAX_BITS, carry: bool = False,
 ) -> DataFrame:
-    """(id, n_words, n_hit, items, spans): the words of each document inside a benchmark window.
+    """(id, key, n_words, n_hit, items, spans): the words of each document inside a benchmark window; ``key`` is its text's hash.
 
     Words are runs of ASCII letters, digits and all non-ASCII characters, A-Z lower-cased. An item with fewer
     words than ``window`` is one window; one without words has none. ``spans`` are byte ranges [start, end) of
     maximal runs of hit words. Null texts have no words; null items are skipped, a null item id is ''. Repeated
     rows each get their result, null ids stay null. With ``carry`` the text and, as ``row``, the other columns follow.
     """
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))).alias("key")
-    rows = rows_of(docs, id_col, text_col, key, *other_columns(docs, text_col, carry))
+    rows = rows_of(docs, id_col, text_col, _text_key(text_col).alias("key"), *other_columns(docs, text_col, carry))
     windows = materialize(benchmark_windows(benchmark, item_col, item_text_col, window), "benchmark-windows")
     known = docs.sparkSession.sparkContext.broadcast(known_hashes(windows, max_hashes, max_bits))
     found = materialize(_candidates(rows.select("id", "key", "text"), known), "decontamination")
@@ -177,10 +176,25 @@ def benchmark_hits(
     joined = joined.select("id", "key", "n_words", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     result = joined.mapInArrow(_spans, "id long, key long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
     if not carry:
-        return result.drop("key")
+        return result
     result = result.dropDuplicates(["id", "key"]).withColumnsRenamed({"id": "hit_id", "key": "hit_key"})
     whole = rows.join(result.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key")), "left")
-    return whole.select("id", "n_words", "n_hit", "items", "spans", "text", "row")
+    return whole.select("id", "key", "n_words", "n_hit", "items", "spans", "text", "row")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))
+
+
+def without_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, one_in: int = 20) -> DataFrame:
+    """The rows of the documents, all columns as they are, but for those that ``found`` (``benchmark_hits``) shows contaminated.
+
+    The contaminated rows' ids are written first: few as a rule, they are then broadcast by their known size, and no text is
+    shuffled; where they are many, the planner joins otherwise.
+    """
+    bad = materialize(found.filter(contaminated(one_in)).select(F.col("id").alias("bad_id"), F.col("key").alias("bad_key")).distinct(), "contaminated")
+    same = F.col(id_col).cast("long").eqNullSafe(bad["bad_id"]) & (_text_key(text_col) == bad["bad_key"])
+    return docs.join(bad, same, "left_anti")
 
 
 def contaminated(one_in: int = 20) -> Column:
