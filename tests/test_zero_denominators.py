@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from frames import rows
 
 from meterlake.plans import dashboard, findings, forecast, silver
@@ -47,3 +49,11 @@ def test_an_unreadable_time_is_not_the_earliest(spark):
     stamps = [("2013-01-01 xx", "99", "99"), ("2013-01-01 00:00:00", "8", "2"), ("2013-01-01 00:00:00", None, "2")]
     frame = spark.createDataFrame(stamps, "time string, temperatureMax string, temperatureMin string")
     assert silver.clean_weather(frame).first().temp_avg == 5.0
+
+
+def test_correlation_without_variance_is_nan_and_does_not_fail(spark):
+    schema = "temp_avg double, avg_kwh_per_home double"
+    level = spark.createDataFrame([(25.5, 2.0), (25.5, 4.0), (None, 50.0), (7.0, None)], schema)
+    assert math.isnan(dashboard.temperature_correlation(level).first().r)
+    assert math.isnan(dashboard.temperature_correlation(level.limit(1)).first().r)
+    assert dashboard.temperature_correlation(level.filter("temp_avg IS NULL")).first().r is None
