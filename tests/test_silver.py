@@ -199,3 +199,18 @@ def test_exact_sums_round_halves_up_in_any_order(spark):
     assert rows(silver.daily_statistics(ties, exact=True), "meter_id", "energy_sum", "energy_mean") == [
         ("A", 1.0001, 1.00005), ("B", 0.0004, 0.00018), ("C", None, None),
     ]
+
+
+def test_no_layout_of_the_exact_sums_is_one_task(spark, sf_dir, monkeypatch):
+    from meterlake.harness import queries
+
+    dealt, statistics = [], silver.daily_statistics
+
+    def noted(rows, **options):
+        dealt.append(rows.rdd.getNumPartitions())
+        return statistics(rows, **options)
+
+    monkeypatch.setattr(queries.silver, "daily_statistics", noted)
+    found = queries.silver_daily_exact(spark, sf_dir)
+    assert len(set(dealt)) == 5 and min(dealt) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.filter("n_values <> 1 OR n_layouts <> 5").count() == 0
