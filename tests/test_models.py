@@ -156,3 +156,32 @@ def test_fits_share_one_copy_and_leave_none(spark, sf_dir):
         assert held.storageLevel.useMemory  # a fit persists its input only if nothing else has
     segments.fit_segments(vectors, starts=2)
     assert not vectors.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_fits_go_on_together_and_end_where_each_alone_ends(spark, shares):
+    from pyspark.ml.clustering import KMeans
+
+    vectors = segments.shape_vectors(shares)
+    fitted = segments._fits(vectors, (2, 3), 2, segments.SEED)
+    for k, models in zip((2, 3), fitted):
+        for start, model in enumerate(models):
+            alone = KMeans(k=k, seed=segments.SEED + start, maxIter=segments.MAX_ITERATIONS, tol=segments.TOLERANCE).fit(vectors)
+            assert model.summary.numIter == alone.summary.numIter
+            assert model.summary.trainingCost == pytest.approx(alone.summary.trainingCost)
+            for ours, theirs in zip(model.clusterCenters(), alone.clusterCenters()):
+                assert list(ours) == pytest.approx(list(theirs))
+
+
+def test_rounds_and_not_fits_make_the_jobs(spark, two_habits):
+    vectors = segments.shape_vectors(segments.share_of_day(segments.load_shape(two_habits)))
+    asked, one_round = [], segments._round
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(segments, "_round", lambda blocks, fits: asked.append(len(fits)) or one_round(blocks, fits))
+        fitted = segments._fits(vectors, (2, 3, 4), 3, segments.SEED)
+    assert asked[0] == 9 and len(asked) == max(m.summary.numIter for models in fitted for m in models)
+
+
+def test_an_empty_cluster_stays_where_it_is(spark):
+    same = spark.createDataFrame([(f"M{i}", slot, 1.0) for i in range(5) for slot in range(48)], "meter_id string, half_hour int, kwh double")
+    labels = segments.segment_meters(same, k=3).collect()
+    assert len(labels) == 5 and len({r.segment for r in labels}) == 1
